@@ -1,0 +1 @@
+"""Journey, league table, graph, streaming and sink queries (registered on import)."""
