@@ -1,0 +1,33 @@
+"""Exact global positions without a single-partition window.
+
+``row_number().over(Window.orderBy(..))`` moves every row into one task. Here
+the frame is range-partitioned and sorted (a distributed sort); each row takes
+its index inside its sorted partition from ``monotonically_increasing_id``
+(partition id in the upper bits, running index in the lower 33), and adds the
+number of rows in all earlier partitions. The per-partition count table has
+one row per sort partition, a size fixed by configuration, so broadcasting it
+is safe. The sorted exchange is computed once and reused by both branches; the
+order must be total (unique keys) for positions to be deterministic.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+_LOW_BITS = 33
+
+
+def with_global_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """``df`` plus a 1-based ``name`` column: the row's place in ``order``."""
+    mid = F.monotonically_increasing_id()
+    ranked = (df.orderBy(*order)
+              .withColumn("_mid", mid)
+              .withColumn("_part", F.shiftright(F.col("_mid"), _LOW_BITS))
+              .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_part"), _LOW_BITS)))
+    counts = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return (ranked.join(F.broadcast(offsets), "_part")
+            .withColumn(name, F.col("_offset") + F.col("_local") + F.lit(1))
+            .drop("_mid", "_part", "_local", "_offset"))

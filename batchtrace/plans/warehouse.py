@@ -28,9 +28,10 @@ from batchtrace import config as C
 from batchtrace import schemas
 from batchtrace.operators.dlq import classify_dlq
 from batchtrace.operators.ingest import decode_raw, route
+from batchtrace.operators.graph import Edges, build_edges, build_nodes
 from batchtrace.plans.curated import Curated, dispatch_from_clean, kitchen_from_clean
 from batchtrace.session import scratch_path
-from batchtrace.sinks.files import write_table
+from batchtrace.sinks.files import write_graph, write_table
 from batchtrace.sources.fixture import load_raw_messages
 
 
@@ -72,6 +73,14 @@ class Warehouse:
             dlq=spark.read.schema(schemas.DLQ_CLASSIFIED).parquet(self.dlq),
         )
 
+    @property
+    def graph(self) -> str:
+        return f"{self.root}/graph"
+
+    def graph_edges(self, spark: SparkSession) -> Edges:
+        return Edges(**{name: spark.read.parquet(f"{self.graph}/edges/{name}")
+                        for name in ("processed", "uses_recipe", "requires", "delivers", "destined_for")})
+
     def raw_archive(self, spark: SparkSession, which: str) -> DataFrame:
         path = self.raw_kitchen if which == "kitchen" else self.raw_dispatch
         return spark.read.schema(schemas.RAW_ARCHIVE).parquet(path)
@@ -99,6 +108,13 @@ def build(spark: SparkSession, raw: DataFrame, root: str,
     return wh
 
 
+def build_graph(spark: SparkSession, wh: Warehouse) -> Warehouse:
+    """Load the graph tables (S10) from the stored curated tables."""
+    c = wh.curated(spark)
+    write_graph(build_nodes(c.kitchen, c.dispatch), build_edges(c.kitchen, c.dispatch).as_dict(), wh.graph)
+    return wh
+
+
 _BUILT: dict[tuple, Warehouse] = {}
 _LOCK = threading.Lock()
 
@@ -118,3 +134,16 @@ def warehouse_for(spark: SparkSession, sf_dir: str,
 
 def curated_for(spark: SparkSession, sf_dir: str) -> Curated:
     return warehouse_for(spark, sf_dir).curated(spark)
+
+
+_GRAPHS: set[tuple] = set()
+
+
+def graph_for(spark: SparkSession, sf_dir: str) -> Edges:
+    """Stored graph edges for ``sf_dir`` (loaded once per application)."""
+    wh = warehouse_for(spark, sf_dir)
+    with _LOCK:
+        if wh.root not in _GRAPHS:
+            build_graph(spark, wh)
+            _GRAPHS.add(wh.root)
+    return wh.graph_edges(spark)
