@@ -229,5 +229,5 @@ def q_dlq_reason_counts(spark, sf_dir):
 @lru_cache(maxsize=1)
 def all_queries() -> tuple[dict[str, QueryFn], dict[str, str]]:
     # Importing the other query modules registers their entries.
-    from batchtrace.plans import queries_more  # noqa: F401
+    from batchtrace.plans import queries_io, queries_more  # noqa: F401
     return dict(SPARK), dict(SQL)

@@ -1,0 +1,103 @@
+"""Streaming, sink and preview queries (registered on import).
+
+The streaming queries run the real Structured Streaming jobs with an
+``availableNow`` trigger over file topics in the shared scratch folder, then
+read the committed output; their oracles are the batch answers.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from batchtrace import schemas
+from batchtrace.operators import reports as R
+from batchtrace.plans import oracle as O
+from batchtrace.plans.queries import (KITCHEN_FLAG_COLUMNS, MONTH, SQL, _c, _routed, register)
+from batchtrace.session import scratch_path
+from batchtrace.sinks.files import read_csv_report, write_csv_report, write_document_snapshot
+from batchtrace.sources.topics import FileTopics, RoutedFiles, publish_files
+from batchtrace.streaming.pipeline import PipelinePaths, run_until_idle, start_pipeline, start_router
+
+_AVAILABLE_NOW = {"availableNow": True}
+
+
+def _published_topics(spark, sf_dir, root: str) -> FileTopics:
+    """The raw messages as file topics, four files per topic, read two files
+    per micro-batch (so each stream runs several batches)."""
+    raw = _routed(spark, sf_dir).select(*schemas.RAW_MESSAGE.fieldNames())
+    publish_files(raw, f"{root}/topics", files_per_topic=4)
+    return FileTopics(f"{root}/topics", max_files_per_trigger=2)
+
+
+def _run_router(spark, sf_dir, root: str) -> str:
+    topics = _published_topics(spark, sf_dir, root)
+    out = f"{root}/routed"
+    run_until_idle([start_router(spark, topics, out, f"{root}/_checkpoints/router", trigger=_AVAILABLE_NOW)])
+    return out
+
+
+@register("stream_route", SQL["envelope_validation"])
+def q_stream_route(spark, sf_dir):
+    root = scratch_path(spark, "stream-route")
+    out = _run_router(spark, sf_dir, root)
+    return (spark.read.schema(schemas.ROUTED).parquet(out)
+            .select("key", "topic", "timestamp", "is_valid", "route"))
+
+
+@register("stream_curated", SQL["kitchen_flags"])
+def q_stream_curated(spark, sf_dir):
+    root = scratch_path(spark, "stream-curated")
+    routed = _run_router(spark, sf_dir, root)
+    paths = PipelinePaths(f"{root}/tables")
+    run_until_idle(start_pipeline(spark, RoutedFiles(routed, max_files_per_trigger=4), paths,
+                                  trigger=_AVAILABLE_NOW))
+    return (spark.read.schema(schemas.KITCHEN_CURATED).parquet(paths.table("kitchen"))
+            .select(*KITCHEN_FLAG_COLUMNS))
+
+
+@register("dlq_messages", O.with_ctes(
+    "SELECT \"key\" AS message_key, \"value\" AS error_payload, \"timestamp\" FROM routed WHERE route = 'dlq'"))
+def q_dlq_messages(spark, sf_dir):
+    """Bounded scan of the dead-letter topic (S2)."""
+    return (RoutedFiles_from(spark, sf_dir).batch(spark, "dlq")
+            .select(F.col("key").alias("message_key"), F.col("value").alias("error_payload"), "timestamp"))
+
+
+def RoutedFiles_from(spark, sf_dir) -> RoutedFiles:  # noqa: N802
+    from batchtrace.plans.warehouse import warehouse_for
+    return RoutedFiles(warehouse_for(spark, sf_dir).routed)
+
+
+_STATION_SCHEMA = "station_id STRING, total_times_active BIGINT, total_temp_warnings BIGINT, " \
+                  "total_weight_warnings BIGINT, total_sensor_warnings BIGINT"
+
+
+@register("csv_report_roundtrip", SQL["station_report_month"])
+def q_csv_report_roundtrip(spark, sf_dir):
+    """Monthly station report written as a CSV report and read back (S8)."""
+    path = scratch_path(spark, "report") + f"/monthly_station_{MONTH.label}"
+    write_csv_report(R.station_report(_c(spark, sf_dir).kitchen, MONTH), path)
+    return read_csv_report(spark, path, spark.createDataFrame([], _STATION_SCHEMA).schema)
+
+
+_DOC_COLUMNS = KITCHEN_FLAG_COLUMNS + ("n_ingredients",)
+
+
+@register("document_snapshot", O.with_ctes(
+    "SELECT " + ", ".join(KITCHEN_FLAG_COLUMNS) + ", CAST(len(ingredients) AS BIGINT) AS n_ingredients FROM kitchen"))
+def q_document_snapshot(spark, sf_dir):
+    """Kitchen rows replaced into a document collection (nested ingredients
+    kept as nested documents), read back (S9)."""
+    path = scratch_path(spark, "documents") + "/kitchen_events"
+    write_document_snapshot(_c(spark, sf_dir).kitchen, path)
+    back = spark.read.schema(schemas.KITCHEN_CURATED).json(path)
+    return back.withColumn("n_ingredients", F.size("ingredients").cast("long")).select(*_DOC_COLUMNS)
+
+
+@register("preview_top200", O.with_ctes(
+    "SELECT " + ", ".join(KITCHEN_FLAG_COLUMNS) + " FROM kitchen ORDER BY event_timestamp, event_id LIMIT 200"))
+def q_preview_top200(spark, sf_dir):
+    """First 200 kitchen rows by time (S11); the limit is the feature."""
+    return (_c(spark, sf_dir).kitchen
+            .orderBy(F.col("event_timestamp").asc_nulls_first(), "event_id")
+            .select(*KITCHEN_FLAG_COLUMNS).limit(200))

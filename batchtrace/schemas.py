@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -64,19 +65,20 @@ ENVELOPE_KEYS = StructType([
     StructField("payload", MapType(StringType(), StringType())),
 ])
 
-# A message as read from a topic (Kafka columns, value already text).
+# A message as read from a topic (Kafka columns, value already text). The
+# ingest time is kept zone-free (Kafka times are converted in UTC).
 RAW_MESSAGE = StructType([
     StructField("key", StringType()),
     StructField("value", StringType()),
     StructField("topic", StringType()),
-    StructField("timestamp", TimestampType()),
+    StructField("timestamp", TimestampNTZType()),
 ])
 
 # Raw archive and dead-letter tables.
 RAW_ARCHIVE = StructType([
     StructField("message_key", StringType()),
     StructField("raw_message", StringType()),
-    StructField("event_timestamp", TimestampType()),
+    StructField("event_timestamp", TimestampNTZType()),
 ])
 
 KITCHEN_CURATED = StructType(
@@ -113,7 +115,7 @@ ROUTED = StructType([
     StructField("key", StringType()),
     StructField("value", StringType()),
     StructField("topic", StringType()),
-    StructField("timestamp", TimestampType()),
+    StructField("timestamp", TimestampNTZType()),
     StructField("is_valid", BooleanType()),
     StructField("route", StringType()),
 ])
