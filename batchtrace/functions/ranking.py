@@ -6,8 +6,12 @@ its index inside its sorted partition from ``monotonically_increasing_id``
 (partition id in the upper bits, running index in the lower 33), and adds the
 number of rows in all earlier partitions. The per-partition count table has
 one row per sort partition, a size fixed by configuration, so broadcasting it
-is safe. The sorted exchange is computed once and reused by both branches; the
-order must be total (unique keys) for positions to be deterministic.
+is safe. The order must be total (unique keys).
+
+The sorted, id-stamped frame is checkpointed (reliably, in the shared
+checkpoint folder) before its two uses: the count branch would otherwise be
+planned with fewer columns, get its own range exchange, and sample its own
+range bounds, so partition ids could disagree between the branches.
 """
 
 from __future__ import annotations
@@ -15,14 +19,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from batchtrace.session import ensure_checkpoint_dir
+
 _LOW_BITS = 33
 
 
 def with_global_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
     """``df`` plus a 1-based ``name`` column: the row's place in ``order``."""
-    mid = F.monotonically_increasing_id()
-    ranked = (df.orderBy(*order)
-              .withColumn("_mid", mid)
+    ensure_checkpoint_dir(df.sparkSession)
+    stamped = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    ranked = (stamped
               .withColumn("_part", F.shiftright(F.col("_mid"), _LOW_BITS))
               .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_part"), _LOW_BITS)))
     counts = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
