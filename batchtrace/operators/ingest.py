@@ -83,6 +83,12 @@ def message_key(value: Column) -> Column:
     return F.get_json_object(value, "$.metadata.event_id")
 
 
+def with_message_key(events: DataFrame, value_col: str = "value") -> DataFrame:
+    """Source events keyed for publishing (S12): key = metadata.event_id, or
+    null when the envelope has none."""
+    return events.withColumn("key", message_key(F.col(value_col).cast("string")))
+
+
 def decode_raw(raw: DataFrame, *keep: str) -> DataFrame:
     """Raw archive rows: key and value as text, ingest time kept (plus any
     ``keep`` columns)."""

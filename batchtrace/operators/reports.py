@@ -137,3 +137,12 @@ def row_counts(k: DataFrame, d: DataFrame, q: DataFrame, period: Period | str) -
                       _count_if(t == "d").alias("dispatch_events"),
                       _count_if(t == "q").alias("dlq_events"),
                       _count_if(t == "u").alias("dlq_undated_events"))
+
+
+PREVIEW_ROWS = 200
+
+
+def preview(df: DataFrame, n: int = PREVIEW_ROWS, order_by: str = "event_timestamp") -> DataFrame:
+    """The first ``n`` rows of a table in time order (S11); planned as a
+    top-k (``TakeOrderedAndProject``), not a full sort."""
+    return df.orderBy(F.col(order_by).asc_nulls_first(), "event_id").limit(n)

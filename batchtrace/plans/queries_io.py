@@ -98,6 +98,4 @@ def q_document_snapshot(spark, sf_dir):
     "SELECT " + ", ".join(KITCHEN_FLAG_COLUMNS) + " FROM kitchen ORDER BY event_timestamp, event_id LIMIT 200"))
 def q_preview_top200(spark, sf_dir):
     """First 200 kitchen rows by time (S11); the limit is the feature."""
-    return (_c(spark, sf_dir).kitchen
-            .orderBy(F.col("event_timestamp").asc_nulls_first(), "event_id")
-            .select(*KITCHEN_FLAG_COLUMNS).limit(200))
+    return R.preview(_c(spark, sf_dir).kitchen).select(*KITCHEN_FLAG_COLUMNS)
