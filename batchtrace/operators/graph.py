@@ -124,9 +124,14 @@ def upsert_edges(existing: Edges, new: Edges) -> Edges:
     )
 
 
-def _on_day(time: Column, day: Period | str) -> Column:
+def _on_day(edges_df: DataFrame, day: Period | str) -> DataFrame:
+    """Edges whose time falls on the day (text prefix). Stored edge tables
+    carry an ``event_day`` partition column; the equality on it prunes."""
     p = day if isinstance(day, Period) else Period.day(day)
-    return time.startswith(p.label)
+    out = edges_df.filter(F.col("time").startswith(p.label))
+    if "event_day" in edges_df.columns:
+        out = out.filter(F.col("event_day") == p.label)
+    return out
 
 
 def ingredient_recall(edges: Edges, ingredient: str, day: Period | str) -> DataFrame:
@@ -134,7 +139,7 @@ def ingredient_recall(edges: Edges, ingredient: str, day: Period | str) -> DataF
     processed on the day, with their destination canteens (distinct, by
     canteen)."""
     item = require_id(ingredient, "ingredient")
-    day_batches = (edges.processed.filter(_on_day(F.col("time"), day))
+    day_batches = (_on_day(edges.processed, day)
                    .select(F.col("dst").alias("batch_id")).distinct())
     recipes = (edges.requires.filter(F.col("dst") == item)
                .select(F.col("src").alias("recipe_id"), F.col("dst").alias("target_ingredient")))
@@ -154,11 +159,11 @@ def contamination_risk(edges: Edges, station: str, day: Period | str) -> DataFra
     processed it strictly later (sorted, joined by ", ", or "None"), crossed
     with the drivers delivering it and its destination canteens."""
     s = require_id(station, "station")
-    p1 = (edges.processed.filter((F.col("src") == s) & _on_day(F.col("time"), day))
+    p1 = (_on_day(edges.processed.filter(F.col("src") == s), day)
           .select(F.col("src").alias("risk_station"), F.col("dst").alias("shared_batch"),
                   F.col("time").alias("_t1")))
     batches = p1.select(F.col("shared_batch").alias("dst")).distinct()
-    p2 = (edges.processed.join(batches, "dst", "left_semi")
+    p2 = (edges.processed.select("dst", "src", "time").join(batches, "dst", "left_semi")
           .select(F.col("dst").alias("_b2"), F.col("src").alias("_later"), F.col("time").alias("_t2")))
     later = (p1.join(p2, (p1["shared_batch"] == p2["_b2"]) & (p2["_t2"] > p1["_t1"]), "left")
              .groupBy("risk_station", "shared_batch")
@@ -166,7 +171,7 @@ def contamination_risk(edges: Edges, station: str, day: Period | str) -> DataFra
     later_text = F.when(F.size("_later_list") > 0, F.concat_ws(", ", "_later_list")).otherwise(F.lit("None"))
     later = later.select("risk_station", "shared_batch", later_text.alias("later_stations"),
                          F.size("_later_list").cast("long").alias("n_later_stations"))
-    drivers = (edges.delivers.join(batches, "dst", "left_semi")
+    drivers = (edges.delivers.select("dst", "src").join(batches, "dst", "left_semi")
                .select(F.col("dst").alias("shared_batch"), F.col("src").alias("exposed_driver")))
     canteens = (edges.destined_for.select(F.col("src").alias("shared_batch"), F.col("dst").alias("affected_canteen"))
                 .join(batches.select(F.col("dst").alias("shared_batch")), "shared_batch", "left_semi"))
