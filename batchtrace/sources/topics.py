@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchtrace import config as C
 from batchtrace import schemas
 
 
@@ -99,3 +100,23 @@ class RoutedFiles:
 
     def batch(self, spark: SparkSession, route: str) -> DataFrame:
         return spark.read.schema(schemas.ROUTED).parquet(self.path).filter(F.col("route") == route)
+
+
+@dataclass(frozen=True)
+class RoutedKafka:
+    """The router's Kafka output read per route: clean kitchen, clean
+    dispatch and dead-letter topics (same interface as ``RoutedFiles``)."""
+
+    kafka: KafkaTopics
+    topics: C.Topics = C.Topics()
+
+    def _topic(self, route: str) -> str:
+        return {C.ROUTE_CLEAN_KITCHEN: self.topics.clean_kitchen,
+                C.ROUTE_CLEAN_DISPATCH: self.topics.clean_dispatch,
+                C.ROUTE_DLQ: self.topics.dlq}[route]
+
+    def stream(self, spark: SparkSession, route: str) -> DataFrame:
+        return self.kafka.stream(spark, [self._topic(route)])
+
+    def batch(self, spark: SparkSession, route: str) -> DataFrame:
+        return self.kafka.batch(spark, [self._topic(route)])

@@ -38,3 +38,13 @@ def test_keys_and_preview(spark, sf_small):
     assert len(top) == 20
     assert [r["event_timestamp"] for r in top] == sorted(r["event_timestamp"] for r in top)
     assert "TakeOrderedAndProject" in preview(k)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_kafka_sources_are_lazy_and_aimed(spark):
+    """No Kafka connector here: check the reader options, not a connection."""
+    from batchtrace.sources.topics import KafkaTopics, RoutedKafka
+    k = KafkaTopics("broker:9092")
+    rk = RoutedKafka(k)
+    assert rk._topic("clean_kitchen") == "clean_kitchen_events"
+    assert rk._topic("dlq") == "dead_letter_queue"
+    assert k.starting_offsets == "earliest"
