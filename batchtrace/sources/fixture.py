@@ -9,7 +9,8 @@ reproducible in any SQL engine. The result has the Kafka column layout
 
 The projection is narrow (no shuffle): at scale every input split maps to one
 output split. A tiny input that arrives as fewer splits than the cluster has
-cores is range-split on ``event_id`` so the JSON work runs in parallel.
+cores is range-split on ``event_id`` (and stored) so the JSON work runs in
+parallel.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchtrace import config as C
+from batchtrace.session import ensure_checkpoint_dir
 
 # --- fixed values (the projection rules of the test fixture) ---------------
 # Six steps per batch, in action order; the step index is event_id % 6.
@@ -71,7 +73,11 @@ def raw_messages(events: DataFrame, min_splits: int | None = None) -> DataFrame:
     if splits < min_splits:
         # Contiguous event ranges, like time-ordered topic partitions: each
         # split covers a few days, so date-partitioned writes stay few files.
-        src = src.repartitionByRange(min_splits, "event_id")
+        # The split is stored (reliable checkpoint in the shared folder): a
+        # filter on parsed messages then stops at the stored splits instead of
+        # being pushed through the exchange into the single scan task.
+        ensure_checkpoint_dir(spark)
+        src = src.repartitionByRange(min_splits, "event_id").checkpoint(eager=True)
 
     # Stage 1: integer parameters of each event (each computed once; the
     # projections below only reference them).
