@@ -57,3 +57,21 @@ def test_partition_pruning_on_stored_tables(spark, sf_small):
     assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-05" in plan
     month = station_report(k, "2024-01")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in month and "2024-02-01" in month
+
+
+def test_restart_takes_only_new_input(spark, sf_small):
+    root = scratch_path(spark, "test-restart")
+    raw = warehouse_for(spark, sf_small).routed_frame(spark).select(*schemas.RAW_MESSAGE.fieldNames())
+    first = raw.filter(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    rest = raw.filter(F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+    topics = FileTopics(f"{root}/topics")
+    out, ckpt = f"{root}/routed", f"{root}/ckpt"
+    publish_files(first, f"{root}/topics", files_per_topic=2)
+    run_until_idle([start_router(spark, topics, out, ckpt, trigger=NOW)])
+    n1 = spark.read.schema(schemas.ROUTED).parquet(out).count()
+    assert n1 == first.count()
+    publish_files(rest, f"{root}/topics", files_per_topic=2)
+    run_until_idle([start_router(spark, topics, out, ckpt, trigger=NOW)])
+    final = spark.read.schema(schemas.ROUTED).parquet(out)
+    assert final.count() == raw.count()
+    assert final.select("value", "timestamp").distinct().count() == raw.count()
