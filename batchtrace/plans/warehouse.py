@@ -30,7 +30,7 @@ from batchtrace.operators.dlq import classify_dlq
 from batchtrace.operators.ingest import decode_raw, route
 from batchtrace.operators.graph import Edges, build_edges, build_nodes
 from batchtrace.plans.curated import Curated, dispatch_from_clean, kitchen_from_clean
-from batchtrace.session import scratch_path
+from batchtrace.session import app_id, scratch_path
 from batchtrace.sinks.files import write_graph, write_table
 from batchtrace.sources.fixture import load_raw_messages
 
@@ -123,7 +123,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str,
                   thresholds: C.Thresholds = C.Thresholds()) -> Warehouse:
     """The warehouse built from the ``events`` table under ``sf_dir``, built
     once per application and reused by every query."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), thresholds)
+    key = (app_id(spark), os.path.abspath(sf_dir), thresholds)
     with _LOCK:
         wh = _BUILT.get(key)
         if wh is None:

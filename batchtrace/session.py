@@ -49,17 +49,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
     neither is set (local tests) is a fresh local folder created and set.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no context handle (remote session): the server's setting rules
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
-        if not current:
-            current = tempfile.mkdtemp(prefix="batchtrace-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
+        if sc is not None:
+            if not current:
+                current = tempfile.mkdtemp(prefix="batchtrace-ckpt-")
+            sc.setCheckpointDir(current)
+            current = sc.getCheckpointDir() or current
+        elif not current:
+            raise RuntimeError("spark.checkpoint.dir is not set for this session")
     return current
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id, without needing a context handle."""
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+
+
+def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return fallback
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the shared checkpoint folder.
 

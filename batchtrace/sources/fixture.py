@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchtrace import config as C
-from batchtrace.session import ensure_checkpoint_dir
+from batchtrace.session import default_parallelism, ensure_checkpoint_dir
 
 # --- fixed values (the projection rules of the test fixture) ---------------
 # Six steps per batch, in action order; the step index is event_id % 6.
@@ -64,7 +64,7 @@ def raw_messages(events: DataFrame, min_splits: int | None = None) -> DataFrame:
     """Project ``events(event_id, ts, ...)`` to raw topic messages."""
     spark = events.sparkSession
     if min_splits is None:
-        min_splits = spark.sparkContext.defaultParallelism
+        min_splits = default_parallelism(spark)
     src = events.select("event_id", "ts")
     try:
         splits = src.rdd.getNumPartitions()
