@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from batchtrace.llm import mixing
+from batchtrace.llm import decontamination, mixing
 from batchtrace.llm.common import table
 from batchtrace.llm.token_counts import count_tokens
 from batchtrace.llm.token_store import read_tokens, write_tokens
@@ -27,6 +27,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = write_tokens(table(spark, sf_dir, "documents"), VOCABULARY, scratch_path(spark, "tokens"), end_id=2)
     return read_tokens(spark, out)
@@ -35,11 +39,13 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_mixing": op3_mixing,
+    "op4_decontamination": op4_decontamination,
     "op8_token_output": op8_token_output,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": mixing.ORACLE_SQL,
+    "op4_decontamination": decontamination.ORACLE_SQL,
 }
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
