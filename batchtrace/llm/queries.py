@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from batchtrace.llm import decontamination, mixing
+from batchtrace.llm import decontamination, mixing, simhash
 from batchtrace.llm.common import table
 from batchtrace.llm.token_counts import count_tokens
 from batchtrace.llm.token_store import read_tokens, write_tokens
@@ -31,6 +31,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = write_tokens(table(spark, sf_dir, "documents"), VOCABULARY, scratch_path(spark, "tokens"), end_id=2)
     return read_tokens(spark, out)
@@ -40,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_mixing": op3_mixing,
     "op4_decontamination": op4_decontamination,
+    "op6_simhash": op6_simhash,
     "op8_token_output": op8_token_output,
 }
 
