@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from batchtrace.llm import decontamination, mixing, simhash
+from batchtrace.llm import decontamination, mixing, simhash, winnowing
 from batchtrace.llm.common import table
 from batchtrace.llm.token_counts import count_tokens
 from batchtrace.llm.token_store import read_tokens, write_tokens
@@ -40,12 +40,17 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, out)
 
 
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.neighbour_likeness(table(spark, sf_dir, "documents"), k=4, w=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_mixing": op3_mixing,
     "op4_decontamination": op4_decontamination,
     "op6_simhash": op6_simhash,
     "op8_token_output": op8_token_output,
+    "op10_winnowing": op10_winnowing,
 }
 
 ORACLE_SQL: dict[str, str] = {
