@@ -9,8 +9,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from batchtrace.llm import decontamination, mixing, simhash, winnowing
+from batchtrace.llm import decontamination, language_id, mixing, quality, simhash, winnowing
 from batchtrace.llm.common import table
 from batchtrace.llm.token_counts import count_tokens
 from batchtrace.llm.token_store import read_tokens, write_tokens
@@ -23,6 +24,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), VOCABULARY, limit=2048)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
@@ -35,6 +40,22 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+#: A document is kept if the top grade is at least as likely as not.
+KEEP_TAIL = 0.5
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades from the labels: 0 toxic, 1 poor, 2 good; rows without both labels are not rated."""
+    return table(spark, sf_dir, "labels").select(
+        "doc_id", F.when(F.col("toxic") == 1, 0).when(F.col("toxic") == 0, 1 + F.col("quality")).alias("grade"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    graded = quality.score(docs, quality.fit(docs, ratings(spark, sf_dir)))
+    return graded.withColumn("keep", F.col("tail_probability") >= KEEP_TAIL)
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = write_tokens(table(spark, sf_dir, "documents"), VOCABULARY, scratch_path(spark, "tokens"), end_id=2)
     return read_tokens(spark, out)
@@ -46,9 +67,11 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_language": op2_language,
     "op3_mixing": op3_mixing,
     "op4_decontamination": op4_decontamination,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
     "op8_token_output": op8_token_output,
     "op10_winnowing": op10_winnowing,
 }
