@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchtrace.llm import decontamination, language_id, mixing, quality, simhash, winnowing
+from batchtrace.llm import decontamination, html_templates, language_id, mixing, quality, simhash, winnowing
 from batchtrace.llm.common import table
 from batchtrace.llm.token_counts import count_tokens
 from batchtrace.llm.token_store import read_tokens, write_tokens
@@ -61,6 +61,10 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, out)
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_templates.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.neighbour_likeness(table(spark, sf_dir, "documents"), k=4, w=4)
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_token_output": op8_token_output,
+    "op9_html_text": op9_html_text,
     "op10_winnowing": op10_winnowing,
 }
 
