@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchtrace.llm import decontamination, html_templates, language_id, mixing, quality, simhash, winnowing
-from batchtrace.llm.common import table
+from batchtrace.llm import decontamination, html_templates, interpolation_lm, language_id, mixing, quality, simhash, winnowing
+from batchtrace.llm.common import fresh, table
 from batchtrace.llm.token_counts import count_tokens
 from batchtrace.llm.token_store import read_tokens, write_tokens
 from batchtrace.session import scratch_path
@@ -36,6 +36,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_mixing": op3_mixing,
     "op4_decontamination": op4_decontamination,
+    "op5_lm_score": op5_lm_score,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_token_output": op8_token_output,
@@ -86,4 +91,33 @@ ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": decontamination.ORACLE_SQL,
 }
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts, learned from the labels of these documents."""
+    expected, tail = fresh(docs, "expected_grade", "tail_probability")
+    graded = quality.with_grades(docs, quality.fit(docs, ratings(spark, sf_dir)), expected=expected, tail=tail)
+    return graded.filter(F.col(tail) >= KEEP_TAIL).drop(expected, tail)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash class, the least id's."""
+    return simhash.keep_one(docs, shingle=3, radius=3)
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark window."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for each copy taken, in training order."""
+    return mixing.mix(docs)
+
+
+def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token shards of the mix, and per row what is read back from them."""
+    return read_tokens(spark, write_tokens(docs, VOCABULARY, scratch_path(spark, "tokens"), end_id=2))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", keep_quality), ("near_duplicates", keep_one_of_each), ("decontamination", keep_uncontaminated),
+    ("mixing", mix_sources), ("token_output", write_token_ids)]
