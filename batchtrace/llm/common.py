@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,7 +76,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4 << 2
     """
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         start, total = 0, 0
         for i, n in enumerate(sizes):
             if total and total + n > max_bytes:

@@ -12,8 +12,8 @@ import unicodedata
 
 import regex
 
-#: Unicode white space, which the library's \s means.
-WHITE = r"\t-\r \x85\xa0  -     　"
+#: Unicode white space, which the library's \\s means.
+WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class PieceSplitter:
@@ -27,8 +27,8 @@ class PieceSplitter:
             raise ValueError("not a vocabulary of lower-cased words split by pattern")
         if byte_level["add_prefix_space"] or byte_level["use_regex"]:
             raise ValueError("not a plain byte alphabet")
-        pattern = split["pattern"]["Regex"].replace(r"[^\s", f"[^{WHITE}")
-        self.find = regex.compile(pattern).findall
+        self.pattern = split["pattern"]["Regex"]
+        self.find = regex.compile(self.pattern.replace(r"[^\s", f"[^{WHITE}")).findall
         self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
         names = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.cut = regex.compile(f"({'|'.join(names)})").split if names else lambda text: [text]
@@ -44,10 +44,23 @@ class PieceSplitter:
         return out
 
     def _plain(self, text: str) -> list[str]:
-        if not text.isascii():
+        if text.isascii():
+            return self.find(text.lower())
+        try:
+            text.encode("latin-1")  # all its letters are known and composed
+        except UnicodeEncodeError:
+            if any(unicodedata.category(c) == "Cn" for c in set(text)):
+                return self._by_library(text)
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.find(text.lower())
 
+    def _by_library(self, text: str) -> list[str]:
+        """For code points that the tables here do not know, the library's own tables decide."""
+        from tokenizers import Regex, normalizers, pre_tokenizers
+        steps = [normalizers.NFC(), normalizers.Replace(Regex(r"\s+"), " "), normalizers.Lowercase()]
+        split = pre_tokenizers.Split(Regex(self.pattern), "removed", invert=True)
+        return [piece for piece, _ in split.pre_tokenize_str(normalizers.Sequence(steps).normalize_str(text))]
+
 
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: itself if printable, else 256 and up."""

@@ -15,6 +15,7 @@ import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,7 +95,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 2048,
         of, split = counter.__getitem__, splitter.pieces
         for batch in chunks(batches, "text"):
             texts = batch.column(1)
-            sizes = pa.compute.binary_length(texts).cast(pa.int64())
+            sizes = pc.binary_length(texts).cast(pa.int64())
             tokens = [sum(map(of, split(text))) for text in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(tokens, pa.int64())],
                                              ["doc_id", "n_bytes", "n_tokens"])

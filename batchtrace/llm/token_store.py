@@ -42,8 +42,8 @@ from batchtrace.llm.pieces import PieceSplitter
 MAGIC = b"TIDS1"
 _HEAD = "<5sBQQQ"
 #: Ids of one shard at most, but for a longer single document.
-SHARD_IDS = 8_000_000
-CACHE_PIECES = 400_000
+SHARD_IDS = 4_000_000
+CACHE_PIECES = 150_000
 
 
 class PieceEncoder(dict):
@@ -54,8 +54,8 @@ class PieceEncoder(dict):
         spec = splitter.spec | {"normalizer": None, "added_tokens": [], "post_processor": None}
         self.model = Tokenizer.from_str(json.dumps(spec))
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.limit, self.type = limit, f"<u{width}"
-        self.special = {s: np.array([i], self.type).tobytes() for s, i in splitter.special.items()}
+        self.limit, self.width = limit, width
+        self.special = {s: i.to_bytes(width, "little") for s, i in splitter.special.items()}
         self.update(self.special)
 
     def learn(self, pieces: set[str]) -> None:
@@ -63,8 +63,11 @@ class PieceEncoder(dict):
             self.clear()
             self.update(self.special)
         new = [p for p in pieces if p not in self]
-        for piece, code in zip(new, self.model.encode_batch(new, add_special_tokens=False), strict=True):
-            self[piece] = np.array(code.ids, self.type).tobytes()
+        if new:
+            code = self.model.encode(new, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(code.ids, f"<u{self.width}").tobytes()
+            ends = self.width * np.searchsorted(np.array(code.word_ids), np.arange(len(new) + 1))
+            self.update(zip(new, (ids[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())), strict=True))
 
 
 def id_width(spec: str) -> int:
@@ -126,7 +129,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, out_dir: str, end_id: int = 2
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = PieceSplitter(spec.value)
         encoder = PieceEncoder(splitter, width)
-        end = np.array([end_id], encoder.type).tobytes()
+        splitter.spec.clear()  # the model has it
+        end = end_id.to_bytes(width, "little")
         target, folder = _file_system(out_dir)
         buffer, ends, doc_ids, seq = bytearray(), [], [], 0
 
@@ -166,7 +170,7 @@ def read_tokens(spark: SparkSession, out_dir: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` read back from the shards.
 
     The starts of shards are a running sum over the manifest, which has one row
-    for each 8 million ids; documents are read from the files by the tasks.
+    for each 4 million ids; documents are read from the files by the tasks.
     """
     manifest = spark.read.schema("seq int, file string, n_docs long, n_ids long, part int").parquet(f"{out_dir}/manifest")
     earlier = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)

@@ -29,8 +29,6 @@ def tools():
     ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "'s", "'Ll", " ", "ΑΣ", "İ", "é", "thththing", "K"]))).map("".join))
 def test_pieces_agree_with_the_library(tools, text):
     library, splitter, counter, encoder = tools
-    if "Ɤ" in text or "Ƛ" in text:  # lower case newer than the library's tables
-        return
     ids = library.encode(text, add_special_tokens=False).ids
     pieces = splitter.pieces(text)
     assert sum(counter[p] for p in pieces) == len(ids)
@@ -79,7 +77,7 @@ def test_elias_fano_needs_order():
         EliasFano.encode(np.array([3, 2]))
 
 
-@pytest.mark.parametrize("shard_ids", [50, 8_000_000])
+@pytest.mark.parametrize("shard_ids", [50, 4_000_000])
 def test_shards_round_trip(spark, odd, tools, shard_ids):
     library = tools[0]
     out = token_store.write_tokens(odd, PATH, scratch_path(spark, "t"), shard_ids=shard_ids)
