@@ -43,14 +43,14 @@ from pyspark.sql import functions as F
 from batchtrace.llm.common import chunks, fold, stored
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: One training document in so many is held out for the weights.
 HELD = 20
 ROUNDS = 15
 #: Hashes that no word has any claim to, of white space.
 END_WORD, START_WORD = b"\n", b"\n\n"
 TEST, FIT, LEARN = 0, 1, 2
-_WORDS_CACHED = 400_000
+_WORDS_CACHED = 200_000
 
 
 def pack(values: np.ndarray) -> bytes:
