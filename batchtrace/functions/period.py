@@ -6,7 +6,7 @@ import re
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _DAY = re.compile(r"^\d{4}-\d{2}-\d{2}$")
@@ -74,6 +74,11 @@ def require_id(value: str, what: str = "id") -> str:
     return str(value).strip()
 
 
+def first_rows(df: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows of an ordered frame; all of them for None."""
+    return df if limit is None else df.limit(limit)
+
+
 def row_limit(value, default: int = DEFAULT_ROW_LIMIT) -> int:
     """A display row limit; anything that is not a positive integer → default."""
     try:

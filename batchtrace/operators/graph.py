@@ -3,12 +3,15 @@
 Nodes: ``(label, id)``. Edges: one table per relationship type with ``src``
 and ``dst`` ids:
 
-* PROCESSED     Station → Batch   (action, time, temp_celsius, weight, event_id)
+* PROCESSED     Station → Batch   (action, time, temp_celsius, weight, event_id, event_day)
 * USES_RECIPE   Batch → Recipe
 * REQUIRES      Recipe → Ingredient
-* DELIVERS      Driver → Batch    (action, time, truck_temp_celsius, event_id)
+* DELIVERS      Driver → Batch    (action, time, truck_temp_celsius, event_id, event_day)
 * DESTINED_FOR  Batch → Canteen
 
+``event_day`` is the date of ``time`` (null if it has none). In memory and stored,
+the edge tables have the same columns (``schemas.PROCESSED_EDGES`` and so on).
+
 Upserts are aggregations keyed by (src, dst): an edge keeps the properties of
 its latest event (by time, then event id), so loads are deterministic and
 idempotent. Rows with a null key are skipped (a graph key cannot be null).
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchtrace.functions.period import Period, require_id
+from batchtrace.operators.rules import event_date
 
 PROCESSED_PROPS = ("action", "time", "temp_celsius", "weight", "event_id")
 DELIVERS_PROPS = ("action", "time", "truck_temp_celsius", "event_id")
@@ -56,12 +60,15 @@ def _latest(df: DataFrame, props: tuple[str, ...]) -> DataFrame:
     """
     version = F.struct(F.col("time"), F.col("event_id"))
     pick = F.max_by(F.struct(*props), version)
-    return df.groupBy("src", "dst").agg(pick.alias("_p")).select("src", "dst", "_p.*")
+    kept = df.groupBy("src", "dst").agg(pick.alias("_p")).select("src", "dst", "_p.*")
+    return kept.withColumn("event_day", event_date(F.col("time")))
 
 
 def ingredient_rows(k: DataFrame) -> DataFrame:
-    """(recipe_id, item) for every ingredient of every kitchen row."""
-    return k.select("recipe_id", F.inline_outer("ingredients")).select("recipe_id", "item")
+    """(recipe_id, item) for every distinct (recipe, item list) of the kitchen
+    rows: a recipe has few lists of items, so few lists are exploded."""
+    lists = k.select("recipe_id", F.col("ingredients.item").alias("items")).distinct()
+    return lists.select("recipe_id", F.explode_outer("items").alias("item"))
 
 
 def build_nodes(k: DataFrame, d: DataFrame) -> DataFrame:
@@ -109,6 +116,7 @@ def build_edges(k: DataFrame, d: DataFrame) -> Edges:
 
 
 def upsert_nodes(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored nodes and new ones, each once."""
     return existing.unionByName(new).distinct()
 
 
@@ -124,14 +132,16 @@ def upsert_edges(existing: Edges, new: Edges) -> Edges:
     )
 
 
-def _on_day(edges_df: DataFrame, day: Period | str) -> DataFrame:
-    """Edges whose time falls on the day (text prefix). Stored edge tables
-    carry an ``event_day`` partition column; the equality on it prunes."""
+def _day(day: Period | str) -> Period:
     p = day if isinstance(day, Period) else Period.day(day)
-    out = edges_df.filter(F.col("time").startswith(p.label))
-    if "event_day" in edges_df.columns:
-        out = out.filter(F.col("event_day") == p.label)
-    return out
+    if p.kind != "day":
+        raise ValueError(f"a day is needed, got {p.label}")
+    return p
+
+
+def _on_day(edges_df: DataFrame, day: Period | str) -> DataFrame:
+    """Edges whose time falls on the day; prunes stored tables to one directory."""
+    return edges_df.filter(_day(day).contains("event_day"))
 
 
 def ingredient_recall(edges: Edges, ingredient: str, day: Period | str) -> DataFrame:
@@ -163,7 +173,9 @@ def contamination_risk(edges: Edges, station: str, day: Period | str) -> DataFra
           .select(F.col("src").alias("risk_station"), F.col("dst").alias("shared_batch"),
                   F.col("time").alias("_t1")))
     batches = p1.select(F.col("shared_batch").alias("dst")).distinct()
-    p2 = (edges.processed.select("dst", "src", "time").join(batches, "dst", "left_semi")
+    # A later event is on the same day or a later one; an undated time is compared as text.
+    not_before = F.col("event_day").isNull() | (F.col("event_day") >= F.lit(_day(day).start))
+    p2 = (edges.processed.filter(not_before).select("dst", "src", "time").join(batches, "dst", "left_semi")
           .select(F.col("dst").alias("_b2"), F.col("src").alias("_later"), F.col("time").alias("_t2")))
     later = (p1.join(p2, (p1["shared_batch"] == p2["_b2"]) & (p2["_t2"] > p1["_t1"]), "left")
              .groupBy("risk_station", "shared_batch")

@@ -14,32 +14,27 @@ from batchtrace import config as C
 from batchtrace import schemas
 
 
-def envelope_keys(value: Column) -> Column:
-    """Parse the envelope text once into ``struct<metadata map, payload map>``.
-
-    Keys with JSON null values are kept (presence, not non-null). A member
-    that is absent or not an object is null; text that is not a JSON object
-    gives nulls in both members.
-    """
-    return F.from_json(value, schemas.ENVELOPE_KEYS)
-
-
-def _has_required_keys(env: Column) -> Column:
-    meta, payload = env.getField("metadata"), env.getField("payload")
-    return (F.map_contains_key(meta, "event_id") & F.map_contains_key(meta, "event_type")
-            & F.map_contains_key(payload, "batch_id") & F.map_contains_key(payload, "action"))
+_STRICT = {"allowSingleQuotes": "false"}
 
 
 def is_valid_envelope(value: Column) -> Column:
     """True iff the text is a JSON object whose ``metadata`` object has
     ``event_id`` and ``event_type`` keys and whose ``payload`` object has
-    ``batch_id`` and ``action`` keys. Never null.
-
-    The parsed envelope is bound once through a one-element ``exists`` so the
-    four key tests share a single JSON parse, even after Catalyst inlines the
-    expression into a pushed-down filter.
+    ``batch_id`` and ``action`` keys. Never null. A key with a JSON null value
+    is present.
+
+    ``from_json`` stops after the first value of a text, so the text is parsed
+    as a member of an object whose last member must be reached; text that adds
+    members of its own is no single element of an array. Together the two tests
+    accept exactly one strict JSON document. The four key tests are the same
+    ``from_json`` expression, which a projection evaluates once.
     """
-    return F.coalesce(F.exists(F.array(envelope_keys(value)), _has_required_keys), F.lit(False))
+    wrapped = F.from_json(F.concat(F.lit('{"d":'), value, F.lit(',"end":true}')), schemas.WRAPPED_KEYS, _STRICT)
+    meta, payload = wrapped["d"]["metadata"], wrapped["d"]["payload"]
+    one_document = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
+    return F.coalesce(
+        wrapped["end"] & one_document & F.map_contains_key(meta, "event_id") & F.map_contains_key(meta, "event_type")
+        & F.map_contains_key(payload, "batch_id") & F.map_contains_key(payload, "action"), F.lit(False))
 
 
 def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:

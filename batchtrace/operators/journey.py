@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchtrace import config as C
-from batchtrace.functions.period import require_id
-from batchtrace.functions.ranking import with_global_position
+from batchtrace.functions.period import first_rows, require_id
 
 JOURNEY_COLUMNS = ("batch_id", "event_id", "event_timestamp", "source", "action", "location",
                    "station_id", "driver_id", "canteen_id")
@@ -37,22 +36,28 @@ def batch_journey(k: DataFrame, d: DataFrame, batch_id: str) -> DataFrame:
 
 
 def batch_exists(k: DataFrame, d: DataFrame, batch_id: str) -> DataFrame:
-    """One row: matching kitchen and dispatch rows of a batch, and whether any."""
+    """One row: whether the batch has kitchen rows, dispatch rows, and any.
+
+    Each side stops at its first match (``limit(1)``); with the stored tables'
+    order and Bloom filters a batch that is absent reads no row group."""
     b = require_id(batch_id, "batch id")
-    tags = (k.filter(F.col("batch_id") == b).select(F.lit("k").alias("_t"))
-            .unionByName(d.filter(F.col("batch_id") == b).select(F.lit("d").alias("_t"))))
+
+    def any_of(df: DataFrame, tag: str) -> DataFrame:
+        return df.filter(F.col("batch_id") == b).select(F.lit(tag).alias("_t")).limit(1)
+
     t = F.col("_t")
-    counts = tags.agg(F.count(F.when(t == "k", F.lit(True))).alias("kitchen_events"),
-                      F.count(F.when(t == "d", F.lit(True))).alias("dispatch_events"))
-    return counts.select(F.lit(b).alias("batch_id"), "kitchen_events", "dispatch_events",
-                         ((F.col("kitchen_events") + F.col("dispatch_events")) > 0).alias("found"))
+    seen = any_of(k, "k").unionByName(any_of(d, "d")).agg(
+        F.coalesce(F.bool_or(t == "k"), F.lit(False)).alias("in_kitchen"),
+        F.coalesce(F.bool_or(t == "d"), F.lit(False)).alias("in_dispatch"))
+    return seen.select(F.lit(b).alias("batch_id"), "in_kitchen", "in_dispatch",
+                       (F.col("in_kitchen") | F.col("in_dispatch")).alias("found"))
 
 
 def minute_of(ts_text: Column) -> Column:
-    """The timestamp text as a zone-free timestamp truncated to the minute."""
-    ts = F.try_cast(ts_text, "timestamp_ntz") if hasattr(F, "try_cast") else ts_text.try_cast("timestamp_ntz")
-    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts),
-                                F.hour(ts), F.minute(ts), F.lit(0))
+    """The instant of the timestamp text, truncated to the minute. An offset in
+    the text is honoured; a text without one is in the session's zone (UTC)."""
+    whole = F.regexp_replace(ts_text, r"T(\d\d:\d\d)(Z|[+-]\d\d:?\d\d)$", "T$1:00$2")  # the cast wants seconds before an offset
+    return F.date_trunc("MINUTE", whole.try_cast("timestamp"))
 
 
 def delivery_spans(d: DataFrame) -> DataFrame:
@@ -70,7 +75,7 @@ def delivery_spans(d: DataFrame) -> DataFrame:
             .filter(F.col("delivery_time_mins") > 0))
 
 
-def driver_leaderboard(d: DataFrame) -> DataFrame:
+def driver_leaderboard(d: DataFrame, limit: int | None = None) -> DataFrame:
     """Drivers by average delivery minutes (ascending, then driver id), with
     1-based rank, min, max, average and number of deliveries."""
     per_driver = (delivery_spans(d)
@@ -79,7 +84,8 @@ def driver_leaderboard(d: DataFrame) -> DataFrame:
                        F.max("delivery_time_mins").alias("max_time"),
                        F.avg("delivery_time_mins").alias("avg_time"),
                        F.count(F.lit(1)).alias("total_deliveries")))
-    ranked = with_global_position(per_driver, [F.col("avg_time").asc(), F.col("driver_id").asc_nulls_first()],
-                                  "rank")
-    return (ranked.select("rank", "driver_id", "min_time", "max_time", "avg_time", "total_deliveries")
-            .orderBy("rank"))
+    # One row per driver is left: the rank needs one ordered pass over them.
+    rank = F.row_number().over(Window.orderBy(F.col("avg_time").asc(), F.col("driver_id").asc_nulls_first()))
+    ranked = per_driver.select(rank.cast("long").alias("rank"), "driver_id", "min_time", "max_time", "avg_time",
+                               "total_deliveries")
+    return first_rows(ranked, limit)

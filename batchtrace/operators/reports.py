@@ -1,9 +1,10 @@
 """Period reports over the curated kitchen (K), dispatch (D) and DLQ (Q) frames.
 
 Every report is one filter on the stored ``event_date`` column (partition
-pruning + Parquet pushdown), one hash aggregation (partial aggregation on the
-map side, so a hot station or driver costs one row per map task in the
-shuffle), and a sort of the small result.
+pruning + Parquet pushdown), one aggregation with partial aggregation on the
+map side (so a hot station or driver costs one row per map task in the
+shuffle), and a sort of the small result. Every report takes a ``limit`` for
+display; None means all rows.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchtrace import config as C
-from batchtrace.functions.period import Period, as_period
+from batchtrace.functions.period import Period, as_period, first_rows
 
 KITCHEN_LISTING_COLUMNS = (
     "event_timestamp", "batch_id", "recipe_id", "station_id", "action",
@@ -39,7 +40,7 @@ def kitchen_listing(k: DataFrame, period: Period | str, limit: int | None = None
            .select(*KITCHEN_LISTING_COLUMNS, "event_id")
            .orderBy(F.col("event_timestamp").asc_nulls_first(), "event_id")
            .drop("event_id"))
-    return out.limit(limit) if limit else out
+    return first_rows(out, limit)
 
 
 def dispatch_listing(d: DataFrame, period: Period | str, limit: int | None = None) -> DataFrame:
@@ -48,29 +49,31 @@ def dispatch_listing(d: DataFrame, period: Period | str, limit: int | None = Non
            .select(*DISPATCH_LISTING_COLUMNS, "event_id")
            .orderBy(F.col("event_timestamp").asc_nulls_first(), "event_id")
            .drop("event_id"))
-    return out.limit(limit) if limit else out
+    return first_rows(out, limit)
 
 
-def station_report(k: DataFrame, period: Period | str) -> DataFrame:
+def station_report(k: DataFrame, period: Period | str, limit: int | None = None) -> DataFrame:
     """Per station: active steps, temperature / weight / sensor warnings.
 
     A weight status of UNKNOWN counts as a weight warning.
     """
-    return (_in_period(k, period)
+    out = (_in_period(k, period)
             .groupBy("station_id")
             .agg(_count_if(F.col("action").isin(*C.KITCHEN_ACTIONS)).alias("total_times_active"),
                  _count_if(F.col("temperature_status") != C.OK).alias("total_temp_warnings"),
                  _count_if(F.col("weight_status") != C.OK).alias("total_weight_warnings"),
                  _count_if(F.col("sensor_status") != C.OK).alias("total_sensor_warnings"))
             .orderBy("station_id"))
+    return first_rows(out, limit)
 
 
-def recipe_report(k: DataFrame, period: Period | str) -> DataFrame:
+def recipe_report(k: DataFrame, period: Period | str, limit: int | None = None) -> DataFrame:
     """Per recipe: COOKING steps (recipes with none keep a zero row)."""
-    return (_in_period(k, period)
+    out = (_in_period(k, period)
             .groupBy("recipe_id")
             .agg(_count_if(F.col("action") == C.COOKING).alias("total_times_cooked"))
             .orderBy("recipe_id"))
+    return first_rows(out, limit)
 
 
 def one_row_per_batch(k: DataFrame, cols: tuple[str, ...]) -> DataFrame:
@@ -83,34 +86,37 @@ def one_row_per_batch(k: DataFrame, cols: tuple[str, ...]) -> DataFrame:
     return k.groupBy("batch_id").agg(pick.alias("_row")).select("batch_id", "_row.*")
 
 
-def ingredient_usage(k: DataFrame, period: Period | str) -> DataFrame:
+def ingredient_usage(k: DataFrame, period: Period | str, limit: int | None = None) -> DataFrame:
     """Ingredient weight per (recipe, item): one row per batch in the period,
     its ingredient list exploded, amounts summed and rounded to 2 places;
     heaviest first."""
     per_batch = one_row_per_batch(_in_period(k, period), ("recipe_id", "ingredients"))
-    return (per_batch
-            .select("recipe_id", F.inline("ingredients"))
-            .groupBy("recipe_id", "item")
-            .agg(F.round(F.sum(F.col("amount_kg").cast("double")), 2).alias("total_weight_used"))
-            .orderBy(F.col("total_weight_used").desc_nulls_last(), "recipe_id", "item"))
+    out = (per_batch
+           .select("recipe_id", F.inline("ingredients"))
+           .groupBy("recipe_id", "item")
+           .agg(F.round(F.sum(F.col("amount_kg").cast("double")), 2).alias("total_weight_used"))
+           .orderBy(F.col("total_weight_used").desc_nulls_last(), "recipe_id", "item"))
+    return first_rows(out, limit)
 
 
-def driver_report(d: DataFrame, period: Period | str) -> DataFrame:
+def driver_report(d: DataFrame, period: Period | str, limit: int | None = None) -> DataFrame:
     """Per driver: deliveries, warm-truck warnings, sensor warnings."""
-    return (_in_period(d, period)
+    out = (_in_period(d, period)
             .groupBy("driver_id")
             .agg(_count_if(F.col("action") == C.DELIVERED).alias("total_deliveries"),
                  _count_if(F.col("temperature_status") != C.OK).alias("total_truck_temp_warnings"),
                  _count_if(F.col("sensor_status") != C.OK).alias("total_sensor_warnings"))
             .orderBy("driver_id"))
+    return first_rows(out, limit)
 
 
-def canteen_report(d: DataFrame, period: Period | str) -> DataFrame:
+def canteen_report(d: DataFrame, period: Period | str, limit: int | None = None) -> DataFrame:
     """Per canteen: deliveries."""
-    return (_in_period(d, period)
+    out = (_in_period(d, period)
             .groupBy("canteen_id")
             .agg(_count_if(F.col("action") == C.DELIVERED).alias("total_deliveries"))
             .orderBy("canteen_id"))
+    return first_rows(out, limit)
 
 
 def batch_count(k: DataFrame, d: DataFrame, period: Period | str) -> DataFrame:
@@ -143,6 +149,8 @@ PREVIEW_ROWS = 200
 
 
 def preview(df: DataFrame, n: int = PREVIEW_ROWS, order_by: str = "event_timestamp") -> DataFrame:
-    """The first ``n`` rows of a table in time order (S11); planned as a
-    top-k (``TakeOrderedAndProject``), not a full sort."""
-    return df.orderBy(F.col(order_by).asc_nulls_first(), "event_id").limit(n)
+    """The first ``n`` rows of a curated or raw archive table in time order,
+    by event id or message key on equal times (S11); planned as a top-k
+    (``TakeOrderedAndProject``), not a full sort."""
+    ties = [c for c in ("event_id", "message_key", "raw_message") if c in df.columns]
+    return df.orderBy(F.col(order_by).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in ties]).limit(n)

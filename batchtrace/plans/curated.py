@@ -18,7 +18,6 @@ from batchtrace import schemas
 from batchtrace.operators.dlq import classify_dlq
 from batchtrace.operators.ingest import decode_raw, parse_envelope, route
 from batchtrace.operators.rules import dispatch_rules, kitchen_rules, with_event_date
-from batchtrace.sources.fixture import load_raw_messages
 
 
 def kitchen_from_clean(clean: DataFrame, thresholds: C.Thresholds = C.Thresholds()) -> DataFrame:
@@ -54,22 +53,16 @@ def curate(raw: DataFrame, thresholds: C.Thresholds = C.Thresholds(),
     )
 
 
-def curate_sf(spark: SparkSession, sf_dir: str, thresholds: C.Thresholds = C.Thresholds()) -> Curated:
-    """Curated frames for the driver tables under ``sf_dir``."""
-    return curate(load_raw_messages(spark, sf_dir), thresholds)
-
-
 def load_curated(spark: SparkSession, kitchen_path: str, dispatch_path: str, dlq_path: str) -> Curated:
     """Stored curated tables (S3). A missing path fails the whole load.
 
     Schemas are declared, so no file listing is needed to infer them, and the
-    ``event_date`` partition column is read from the directory layout.
+    ``event_date`` partition column is read from the directory layout. Dead
+    letters are stored classified, so a day's report prunes to its directory.
     """
     def read(path: str, schema) -> DataFrame:
         return spark.read.schema(schema).parquet(path)
 
-    dlq_schema = schemas.RAW_ARCHIVE
-    dlq = classify_dlq(read(dlq_path, dlq_schema).select(*dlq_schema.fieldNames()))
     return Curated(kitchen=read(kitchen_path, schemas.KITCHEN_CURATED),
                    dispatch=read(dispatch_path, schemas.DISPATCH_CURATED),
-                   dlq=dlq)
+                   dlq=read(dlq_path, schemas.DLQ_CLASSIFIED))

@@ -4,7 +4,8 @@
 
 * ``routed``     – every subscribed message with ``is_valid``, partitioned by ``route``
 * ``raw_kitchen``, ``raw_dispatch`` – raw archives of the clean topics (S4)
-* ``kitchen``, ``dispatch`` – curated rows, partitioned by ``event_date`` (S5)
+* ``kitchen``, ``dispatch`` – curated rows, partitioned by ``event_date``, sorted by
+  batch id with Bloom filters on it (S5)
 * ``dlq``        – classified dead letters, partitioned by payload date (S6)
 
 Each step reads the previous step's files, so every plan is small, each JSON
@@ -17,8 +18,6 @@ The folder lives under the session's shared checkpoint folder.
 
 from __future__ import annotations
 
-import os
-import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +27,10 @@ from batchtrace import config as C
 from batchtrace import schemas
 from batchtrace.operators.dlq import classify_dlq
 from batchtrace.operators.ingest import decode_raw, route
-from batchtrace.operators.graph import Edges, build_edges, build_nodes
+from batchtrace.operators.graph import Edges, build_edges, build_nodes, upsert_edges, upsert_nodes
 from batchtrace.plans.curated import Curated, dispatch_from_clean, kitchen_from_clean
-from batchtrace.session import app_id, scratch_path
-from batchtrace.sinks.files import write_graph, write_table
-from batchtrace.sources.fixture import load_raw_messages
+from batchtrace.sinks.files import write_graph_version, write_lookup_table, write_table
+from batchtrace.sinks.versions import VersionedFolder
 
 
 @dataclass(frozen=True)
@@ -77,10 +75,21 @@ class Warehouse:
     def graph(self) -> str:
         return f"{self.root}/graph"
 
+    def _graph_version(self, spark: SparkSession) -> str:
+        folder = VersionedFolder(spark, self.graph).current()
+        if folder is None:
+            raise FileNotFoundError(f"no graph is stored under {self.graph}")
+        return folder
+
     def graph_edges(self, spark: SparkSession) -> Edges:
-        return Edges(**{name: spark.read.parquet(f"{self.graph}/edges/{name}")
+        folder = self._graph_version(spark)
+        kinds = {"processed": schemas.PROCESSED_EDGES, "delivers": schemas.DELIVERS_EDGES}
+        return Edges(**{name: spark.read.schema(kinds.get(name, schemas.PLAIN_EDGES)).parquet(f"{folder}/edges/{name}")
                         for name in ("processed", "uses_recipe", "requires", "delivers", "destined_for")})
 
+    def graph_nodes(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(schemas.NODES).parquet(f"{self._graph_version(spark)}/nodes").select("label", "id")
+
     def raw_archive(self, spark: SparkSession, which: str) -> DataFrame:
         path = self.raw_kitchen if which == "kitchen" else self.raw_dispatch
         return spark.read.schema(schemas.RAW_ARCHIVE).parquet(path)
@@ -99,51 +108,28 @@ def build(spark: SparkSession, raw: DataFrame, root: str,
     # Raw archives and curated tables of the clean topics.
     write_table(decode_raw(clean_k), wh.raw_kitchen, mode="overwrite")
     write_table(decode_raw(clean_d), wh.raw_dispatch, mode="overwrite")
-    write_table(kitchen_from_clean(clean_k, thresholds).select(*schemas.KITCHEN_CURATED.fieldNames()),
-                wh.kitchen, ("event_date",), mode="overwrite")
-    write_table(dispatch_from_clean(clean_d, thresholds).select(*schemas.DISPATCH_CURATED.fieldNames()),
-                wh.dispatch, ("event_date",), mode="overwrite")
+    write_lookup_table(kitchen_from_clean(clean_k, thresholds).select(*schemas.KITCHEN_CURATED.fieldNames()),
+                       wh.kitchen, "batch_id", ("event_date",), mode="overwrite")
+    write_lookup_table(dispatch_from_clean(clean_d, thresholds).select(*schemas.DISPATCH_CURATED.fieldNames()),
+                       wh.dispatch, "batch_id", ("event_date",), mode="overwrite")
     write_table(classify_dlq(decode_raw(dead)).select(*schemas.DLQ_CLASSIFIED.fieldNames()),
                 wh.dlq, ("event_date",), mode="overwrite")
     return wh
 
 
 def build_graph(spark: SparkSession, wh: Warehouse) -> Warehouse:
-    """Load the graph tables (S10) from the stored curated tables."""
+    """Load the graph tables (S10) from the stored curated tables, replacing what is stored."""
     c = wh.curated(spark)
-    write_graph(build_nodes(c.kitchen, c.dispatch), build_edges(c.kitchen, c.dispatch).as_dict(), wh.graph)
+    nodes, edges = build_nodes(c.kitchen, c.dispatch), build_edges(c.kitchen, c.dispatch)
+    VersionedFolder(spark, wh.graph).replace(lambda folder: write_graph_version(nodes, edges.as_dict(), folder))
     return wh
 
 
-_BUILT: dict[tuple, Warehouse] = {}
-_LOCK = threading.Lock()
-
-
-def warehouse_for(spark: SparkSession, sf_dir: str,
-                  thresholds: C.Thresholds = C.Thresholds()) -> Warehouse:
-    """The warehouse built from the ``events`` table under ``sf_dir``, built
-    once per application and reused by every query."""
-    key = (app_id(spark), os.path.abspath(sf_dir), thresholds)
-    with _LOCK:
-        wh = _BUILT.get(key)
-        if wh is None:
-            wh = build(spark, load_raw_messages(spark, sf_dir), scratch_path(spark, "warehouse"), thresholds)
-            _BUILT[key] = wh
-        return wh
-
-
-def curated_for(spark: SparkSession, sf_dir: str) -> Curated:
-    return warehouse_for(spark, sf_dir).curated(spark)
-
-
-_GRAPHS: set[tuple] = set()
-
-
-def graph_for(spark: SparkSession, sf_dir: str) -> Edges:
-    """Stored graph edges for ``sf_dir`` (loaded once per application)."""
-    wh = warehouse_for(spark, sf_dir)
-    with _LOCK:
-        if wh.root not in _GRAPHS:
-            build_graph(spark, wh)
-            _GRAPHS.add(wh.root)
-    return wh.graph_edges(spark)
+def merge_graph(spark: SparkSession, wh: Warehouse, kitchen: DataFrame, dispatch: DataFrame) -> Warehouse:
+    """Merge new curated rows into the stored graph (G4): all nodes and all five
+    relations, written as a new version that then becomes current."""
+    nodes, edges = build_nodes(kitchen, dispatch), build_edges(kitchen, dispatch)
+    if VersionedFolder(spark, wh.graph).current() is not None:
+        nodes, edges = upsert_nodes(wh.graph_nodes(spark), nodes), upsert_edges(wh.graph_edges(spark), edges)
+    VersionedFolder(spark, wh.graph).replace(lambda folder: write_graph_version(nodes, edges.as_dict(), folder))
+    return wh

@@ -65,6 +65,12 @@ ENVELOPE_KEYS = StructType([
     StructField("payload", MapType(StringType(), StringType())),
 ])
 
+# The envelope as the first member of an object that must be read to its end.
+WRAPPED_KEYS = StructType([
+    StructField("d", ENVELOPE_KEYS),
+    StructField("end", BooleanType()),
+])
+
 # A message as read from a topic (Kafka columns, value already text). The
 # ingest time is kept zone-free (Kafka times are converted in UTC).
 RAW_MESSAGE = StructType([
@@ -110,6 +116,29 @@ DLQ_CLASSIFIED = StructType(
     ]
 )
 
+# Stored graph tables: edges with properties carry the day of their time.
+PROCESSED_EDGES = StructType([
+    StructField("src", StringType()),
+    StructField("dst", StringType()),
+    StructField("action", StringType()),
+    StructField("time", StringType()),
+    StructField("temp_celsius", DoubleType()),
+    StructField("weight", DoubleType()),
+    StructField("event_id", StringType()),
+    StructField("event_day", DateType()),
+])
+DELIVERS_EDGES = StructType([
+    StructField("src", StringType()),
+    StructField("dst", StringType()),
+    StructField("action", StringType()),
+    StructField("time", StringType()),
+    StructField("truck_temp_celsius", DoubleType()),
+    StructField("event_id", StringType()),
+    StructField("event_day", DateType()),
+])
+PLAIN_EDGES = StructType([StructField("src", StringType()), StructField("dst", StringType())])
+NODES = StructType([StructField("id", StringType()), StructField("label", StringType())])
+
 # Router output as stored (partitioned by route).
 ROUTED = StructType([
     StructField("key", StringType()),

@@ -43,11 +43,18 @@ def get_session(master: str | None = None, app_name: str = "batchtrace",
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set (local tests) is a fresh local folder created and set.
+    neither is set and the master is local (tests) is a fresh local folder
+    created and set; a cluster without the setting is an error, because a
+    folder of the driver's machine would not be seen by the executors.
     """
     try:
         sc = spark.sparkContext
@@ -58,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if sc is not None:
             if not current:
+                if not is_local(sc.master):
+                    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
                 current = tempfile.mkdtemp(prefix="batchtrace-ckpt-")
             sc.setCheckpointDir(current)
             current = sc.getCheckpointDir() or current
@@ -71,13 +80,6 @@ def app_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
 
 
-def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return fallback
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the shared checkpoint folder.
 

@@ -7,9 +7,10 @@ collected to the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from batchtrace.sinks.versions import VersionedFolder
+
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
                 mode: str = "append", fmt: str = "parquet") -> None:
@@ -21,6 +22,30 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     w.save(path)
 
 
+def write_lookup_table(df: DataFrame, path: str, key: str, partition_by: tuple[str, ...] = (),
+                       mode: str = "append") -> None:
+    """A Parquet table laid out for lookups by ``key``.
+
+    Rows are range-partitioned by (partition columns, key) and sorted, so each
+    directory has few files, a large directory is split among tasks by key
+    ranges, row-group statistics are narrow, and a Bloom filter on the key lets
+    a lookup skip the row groups that statistics leave over.
+    """
+    order = (*partition_by, key)
+    w = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+         .write.mode(mode).option(f"parquet.bloom.filter.enabled#{key}", "true"))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def compact_table(spark: SparkSession, path: str, schema: StructType, out: str, key: str,
+                  partition_by: tuple[str, ...] = ()) -> None:
+    """A streamed table (many small files) rewritten as a lookup table. Reads
+    only what the stream has committed."""
+    write_lookup_table(spark.read.schema(schema).parquet(path), out, key, partition_by, mode="overwrite")
+
+
 def write_csv_report(report: DataFrame, path: str) -> None:
     """One report per directory: header line, overwrite (S8)."""
     report.write.mode("overwrite").option("header", "true").csv(path)
@@ -31,24 +56,28 @@ def read_csv_report(spark: SparkSession, path: str, schema: StructType) -> DataF
     return spark.read.option("header", "true").schema(schema).csv(path)
 
 
-def write_document_snapshot(docs: DataFrame, path: str, fmt: str = "json") -> None:
-    """Replace a document collection with the rows of ``docs``, nested
-    columns kept as nested documents (S9). The previous snapshot is replaced
-    by the writer's overwrite commit, not deleted row by row first."""
-    docs.write.mode("overwrite").format(fmt).save(path)
+def write_document_snapshot(docs: DataFrame, path: str, fmt: str = "json") -> str:
+    """Replace a document collection with the rows of ``docs``, nested columns
+    kept as nested documents (S9). A failed job keeps the old collection."""
+    return VersionedFolder(docs.sparkSession, path).replace(lambda folder: docs.write.format(fmt).save(folder))
+
 
+def read_document_snapshot(spark: SparkSession, path: str, schema: StructType, fmt: str = "json") -> DataFrame:
+    """The current documents; none before the first snapshot."""
+    folder = VersionedFolder(spark, path).current()
+    return spark.read.schema(schema).format(fmt).load(folder) if folder else spark.createDataFrame([], schema)
 
-def write_graph(nodes: DataFrame, edges: dict[str, DataFrame], root: str,
-                mode: str = "overwrite") -> None:
+
+def write_graph_version(nodes: DataFrame, edges: dict[str, DataFrame], folder: str) -> None:
     """Node table partitioned by label, one table per relationship type (S10).
 
-    Edges that carry a ``time`` are partitioned by its day (``event_day``), so
-    the path queries' "processed on day X" start prunes to one directory.
+    Edges with properties are partitioned by the day of their time; every edge
+    table is laid out for lookups by batch, its end that queries start from.
     """
-    nodes.write.mode(mode).partitionBy("label").parquet(f"{root}/nodes")
+    write_lookup_table(nodes, f"{folder}/nodes", "id", ("label",), mode="errorifexists")
     for rel, df in edges.items():
-        if "time" in df.columns:
-            (df.withColumn("event_day", F.substring(F.col("time"), 1, 10))
-             .write.mode(mode).partitionBy("event_day").parquet(f"{root}/edges/{rel}"))
-        else:
-            df.write.mode(mode).parquet(f"{root}/edges/{rel}")
+        days = ("event_day",) if "event_day" in df.columns else ()
+        key = "dst" if days or rel == "requires" else "src"
+        write_lookup_table(df, f"{folder}/edges/{rel}", key, days, mode="errorifexists")
+
+

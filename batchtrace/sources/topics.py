@@ -53,8 +53,8 @@ class KafkaTopics:
 class FileTopics:
     """Message files under ``root/topic=<name>/`` (Parquet, declared schema).
 
-    ``max_files_per_trigger`` bounds each micro-batch, so a backlog is taken
-    in several batches.
+    ``max_files_per_trigger``, if given, bounds each micro-batch, so a backlog
+    is taken in several batches; by default a batch takes all that is there.
     """
 
     root: str
@@ -73,12 +73,10 @@ class FileTopics:
                 .filter(F.col("topic").isin(*topics)).select(*self._SCHEMA.fieldNames()))
 
 
-def publish_files(messages: DataFrame, root: str, files_per_topic: int = 4) -> None:
+def publish_files(messages: DataFrame, root: str) -> None:
     """Append messages to file topics (one directory per topic), keyed as
-    given. ``files_per_topic`` spreads each topic over several files so a
-    stream reads it in several micro-batches."""
-    (messages.repartition(files_per_topic)
-     .write.mode("append").partitionBy("topic").parquet(root))
+    given. Every input partition publishes its own messages."""
+    messages.write.mode("append").partitionBy("topic").parquet(root)
 
 
 @dataclass(frozen=True)

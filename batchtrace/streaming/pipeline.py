@@ -9,8 +9,10 @@ storage (the session's checkpoint folder by default).
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,13 +43,17 @@ def start_router(spark: SparkSession, source, out_path: str, checkpoint: str,
     return _apply_trigger(w, trigger).start()
 
 
+def kafka_messages(routed: DataFrame, topics: C.Topics = C.Topics()) -> DataFrame:
+    """Routed messages as a Kafka sink takes them: key, value, destination topic."""
+    return routed.select("key", "value", route_topic_column(routed["route"], topics).alias("topic"))
+
+
 def start_kafka_router(spark: SparkSession, source, bootstrap_servers: str, checkpoint: str,
                        topics: C.Topics = C.Topics(), trigger: dict | None = None) -> StreamingQuery:
     """The same router publishing to the clean / dead-letter Kafka topics,
     message key preserved (needs the Kafka connector)."""
     routed = route(source.stream(spark, [topics.kitchen, topics.dispatch]), topics)
-    out = routed.select("key", "value", route_topic_column(routed["route"], topics).alias("topic"))
-    w = (out.writeStream.format("kafka")
+    w = (kafka_messages(routed, topics).writeStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers)
          .option("checkpointLocation", checkpoint))
     return _apply_trigger(w, trigger).start()
@@ -111,22 +117,48 @@ def stop_all(queries) -> None:
             q.stop()
 
 
+def _listed(queries) -> list[StreamingQuery]:
+    return list(queries.values()) if isinstance(queries, dict) else list(queries)
+
+
+def _raise_failure(q: StreamingQuery) -> None:
+    if q.exception() is not None:
+        raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
+
+
 def run_until_idle(queries, timeout: float | None = None) -> None:
     """Wait for bounded (``availableNow``) queries to finish, surfacing the
-    first failure; stops all on the way out."""
-    qs = list(queries.values()) if isinstance(queries, dict) else list(queries)
+    first failure; stops all on the way out. ``timeout`` (seconds, for all of
+    them) raises ``TimeoutError``: unfinished output is never taken as whole."""
+    qs = _listed(queries)
+    end = None if timeout is None else time.monotonic() + timeout
     try:
         for q in qs:
-            q.awaitTermination(timeout)
-            if q.exception() is not None:
-                raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
+            try:
+                finished = q.awaitTermination(None if end is None else max(0.0, end - time.monotonic()))
+            except StreamingQueryException:
+                finished = True
+            _raise_failure(q)
+            if end is not None and not finished:
+                raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout} s")
     finally:
         stop_all(qs)
 
 
-def await_any(spark: SparkSession, queries, timeout: float | None = None) -> None:
-    """Block until any query terminates (or fails), then stop them all (T3)."""
+def await_any(queries, timeout: float | None = None, poll: float = 0.2) -> StreamingQuery:
+    """Block until one of the given queries ends, stop the others, and return
+    it (T3). Raises its failure, or ``TimeoutError`` after ``timeout`` seconds.
+    Other streams of the session, earlier or running, do not matter."""
+    qs = _listed(queries)
+    end = None if timeout is None else time.monotonic() + timeout
     try:
-        spark.streams.awaitAnyTermination(timeout)
+        while True:
+            for q in qs:
+                if not q.isActive:
+                    _raise_failure(q)
+                    return q
+            if end is not None and time.monotonic() >= end:
+                raise TimeoutError(f"no stream ended in {timeout} s")
+            time.sleep(poll)
     finally:
-        stop_all(queries)
+        stop_all(qs)

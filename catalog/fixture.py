@@ -2,15 +2,18 @@
 
 The ``events`` table stands in for the two input topics: every event row
 becomes one kitchen or dispatch message (six consecutive events make one
-batch's journey), with injected sensor faults and envelope corruption. Only
-integer arithmetic and text building are used, so the projection is exact and
-reproducible in any SQL engine. The result has the Kafka column layout
-``key, value, topic, timestamp`` (value already decoded to text).
-
-The projection is narrow (no shuffle): at scale every input split maps to one
-output split. A tiny input that arrives as fewer splits than the cluster has
-cores is range-split on ``event_id`` (and stored) so the JSON work runs in
-parallel.
+batch's journey), with injected sensor faults and envelope corruption. All its
+columns are used: one user in ten makes a hot batch (and so a hot driver and
+repeated visits), ``value`` varies the weights within a batch, ``event_type`` is
+part of the source name and marks an unsubscribed topic, ``props`` is a further
+payload member. Some batch ids are JSON null and some event times lie on the
+edges of the month or outside it. Only integer arithmetic and text building are
+used, so the projection is exact and reproducible in any SQL engine. The result
+has the Kafka column layout ``key, value, topic, timestamp`` (value already
+decoded to text).
+
+The projection is narrow (no shuffle): every input split maps to one output
+split, and split sizes are the reader's (``spark.sql.files.maxPartitionBytes``).
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchtrace import config as C
-from batchtrace.session import default_parallelism, ensure_checkpoint_dir
 
 # --- fixed values (the projection rules of the test fixture) ---------------
 # Six steps per batch, in action order; the step index is event_id % 6.
@@ -27,6 +29,9 @@ STEP_ACTIONS = C.KITCHEN_ACTIONS + C.DISPATCH_ACTIONS
 BATCH_ID_BASE = 1001
 SOURCE_NAME = "data_generator"
 CORRUPT_VALUE = '"CORRUPT_TEXT"'
+HOT_BATCH = 228
+OTHER_TOPIC = "audit_events"
+EDGE_TIMES = ("2023-12-31T23:59", "2024-01-01T00:00", "2024-01-31T23:59", "2024-02-01T00:00")
 # ---------------------------------------------------------------------------
 
 
@@ -60,43 +65,31 @@ def _obj(*parts: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
 
 
-def raw_messages(events: DataFrame, min_splits: int | None = None) -> DataFrame:
-    """Project ``events(event_id, ts, ...)`` to raw topic messages."""
-    spark = events.sparkSession
-    if min_splits is None:
-        min_splits = default_parallelism(spark)
-    src = events.select("event_id", "ts")
-    try:
-        splits = src.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave as read
-        splits = min_splits
-    if splits < min_splits:
-        # Contiguous event ranges, like time-ordered topic partitions: each
-        # split covers a few days, so date-partitioned writes stay few files.
-        # The split is stored (reliable checkpoint in the shared folder): a
-        # filter on parsed messages then stops at the stored splits instead of
-        # being pushed through the exchange into the single scan task.
-        ensure_checkpoint_dir(spark)
-        src = src.repartitionByRange(min_splits, "event_id").checkpoint(eager=True)
-
+def raw_messages(events: DataFrame) -> DataFrame:
+    """Project ``events`` to raw topic messages."""
     # Stage 1: integer parameters of each event (each computed once; the
     # projections below only reference them).
     i = F.col("event_id")
-    base = src.select(
-        i.alias("i"), F.col("ts"),
-        _idiv(i, 6).alias("b"),
+    base = events.select(
+        i.alias("i"), F.col("ts"), "event_type", "props",
+        F.floor(F.coalesce("value", F.lit(0.0))).cast("long").alias("v"),
+        F.when(F.col("user_id") % F.lit(10) == 0, F.lit(HOT_BATCH)).otherwise(_idiv(i, 6)).cast("long").alias("b"),
         (i % F.lit(6)).alias("k"),
         F.when(i % F.lit(19) == 11, _idiv(i, 19) % F.lit(7)).otherwise(F.lit(-1)).alias("bad"),
     )
     i, b, k, bad = F.col("i"), F.col("b"), F.col("k"), F.col("bad")
-    w0 = F.lit(1000) + (b * F.lit(737)) % F.lit(4001)
+    w0 = F.lit(1000) + (b * F.lit(737) + F.col("v")) % F.lit(4001)
     minutes = (k * F.lit(20) + (i * F.lit(7)) % F.lit(10)).cast("int")
+    edge, shifted = i % F.lit(97), i % F.lit(31) == 9
+    usual = F.date_format(F.timestamp_add("DAY", F.when(shifted, 35).otherwise(0), F.timestamp_add("MINUTE", minutes, F.col("ts"))),
+                          "yyyy-MM-dd'T'HH:mm")
+    ets = F.when((edge >= 1) & (edge <= 4), F.element_at(F.array(*map(F.lit, EDGE_TIMES)), edge.cast("int"))).otherwise(usual)
     vals = base.select(
-        "i", "b", "k", "bad",
+        "i", "b", "k", "bad", "event_type", "props",
         w0.alias("w0"),
         (b % F.lit(4)).alias("r"),
         (k < 3).alias("is_kitchen"),
-        F.date_format(F.timestamp_add("MINUTE", minutes, F.col("ts")), "yyyy-MM-dd'T'HH:mm").alias("ets"),
+        ets.alias("ets"),
         F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("gen"),
         F.col("ts"),
         (F.when(i % F.lit(17) == 3, F.lit(None).cast("long"))
@@ -123,7 +116,8 @@ def raw_messages(events: DataFrame, min_splits: int | None = None) -> DataFrame:
     texts = vals.select(
         "*",
         event_id.alias("eid"),
-        F.concat(F.lit("BATCH-"), (b + F.lit(BATCH_ID_BASE)).cast("string")).alias("bid"),
+        F.when(i % F.lit(41) == 7, F.lit("null")).otherwise(
+            F.concat(F.lit('"BATCH-'), (b + F.lit(BATCH_ID_BASE)).cast("string"), F.lit('"'))).alias("bid"),
         F.element_at(F.array(*[F.lit(a) for a in STEP_ACTIONS]), (k + 1).cast("int")).alias("act"),
         F.coalesce(_fixed(F.col("w"), 100, 2), F.lit("null")).alias("w_txt"),
         F.coalesce(_fixed(F.col("t"), 10, 1), F.lit("null")).alias("t_txt"),
@@ -144,14 +138,14 @@ def raw_messages(events: DataFrame, min_splits: int | None = None) -> DataFrame:
     metadata = _obj(
         _field("event_id", _jstr(eid), bad != 3),
         _field("event_type", _jstr(event_type), bad != 5),
-        _field("source", _jstr(F.lit(SOURCE_NAME))),
+        _field("source", _jstr(F.concat(F.lit(f"{SOURCE_NAME}/"), F.col("event_type")))),
         _field("generated_at", _jstr(F.col("gen"))),
     )
     station_id = (F.when(k == 0, one_digit("prep_0", F.lit(1) + b % 4))
                   .when(k == 1, one_digit("cook_0", F.lit(1) + b % 6))
                   .otherwise(one_digit("pack_0", F.lit(1) + b % 4)))
     kitchen_payload = _obj(
-        _field("batch_id", _jstr(bid), bad != 4),
+        _field("batch_id", bid, bad != 4),
         _field("station_id", _jstr(station_id)),
         _field("recipe_id", _jstr(F.concat(F.lit("recipe_"), r.cast("string")))),
         _field("action", _jstr(act), bad != 6),
@@ -159,14 +153,16 @@ def raw_messages(events: DataFrame, min_splits: int | None = None) -> DataFrame:
         _field("ingredients", ingredients),
         _field("temperature_celsius", F.col("t_txt")),
         _field("event_timestamp", _jstr(F.col("ets"))),
+        _field("props", F.col("props")),
     )
     dispatch_payload = _obj(
-        _field("batch_id", _jstr(bid), bad != 4),
+        _field("batch_id", bid, bad != 4),
         _field("canteen_id", _jstr(one_digit("cant_0", F.lit(1) + b % 5))),
         _field("driver_id", _jstr(one_digit("drv_0", F.lit(1) + b % 7))),
         _field("action", _jstr(act), bad != 6),
         _field("truck_temp_celsius", F.col("t_txt")),
         _field("event_timestamp", _jstr(F.col("ets"))),
+        _field("props", F.col("props")),
     )
     payload = F.when(is_kitchen, kitchen_payload).otherwise(dispatch_payload)
     envelope = _obj(_field("metadata", metadata, bad != 1), _field("payload", payload, bad != 2))
@@ -175,7 +171,8 @@ def raw_messages(events: DataFrame, min_splits: int | None = None) -> DataFrame:
     return texts.select(
         F.when(bad.isin(0, 1, 3), F.lit(None).cast("string")).otherwise(eid).alias("key"),
         F.when(bad == 0, F.lit(CORRUPT_VALUE)).otherwise(envelope).alias("value"),
-        F.when(is_kitchen, F.lit(C.KITCHEN_TOPIC)).otherwise(F.lit(C.DISPATCH_TOPIC)).alias("topic"),
+        F.when((F.col("event_type") == "error") & (i % F.lit(29) == 3), F.lit(OTHER_TOPIC))
+        .when(is_kitchen, F.lit(C.KITCHEN_TOPIC)).otherwise(F.lit(C.DISPATCH_TOPIC)).alias("topic"),
         F.col("ts").alias("timestamp"),
     )
 

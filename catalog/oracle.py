@@ -12,18 +12,22 @@ from __future__ import annotations
 # Raw messages from the events table: key, value, topic, timestamp.
 _FIXTURE = r"""
 fx_base AS (
-  SELECT event_id AS i, ts, event_id // 6 AS b, event_id % 6 AS k FROM events
+  SELECT event_id AS i, ts, event_type, props, CAST(floor(coalesce(value, 0)) AS BIGINT) AS v,
+    CASE WHEN user_id % 10 = 0 THEN 228 ELSE event_id // 6 END AS b, event_id % 6 AS k FROM events
 ),
 fx_vals AS (
-  SELECT i, ts, b, k,
-    1000 + (b * 737) % 4001 AS w0,
+  SELECT i, ts, b, k, event_type, props,
+    1000 + (b * 737 + v) % 4001 AS w0,
     b % 4 AS r,
     CASE WHEN i % 19 = 11 THEN (i // 19) % 7 ELSE -1 END AS bad,
-    strftime(ts + (CAST(k * 20 + (i * 7) % 10 AS INTEGER) * INTERVAL '1 minute'), '%Y-%m-%dT%H:%M') AS ets,
+    CASE i % 97 WHEN 1 THEN '2023-12-31T23:59' WHEN 2 THEN '2024-01-01T00:00'
+                WHEN 3 THEN '2024-01-31T23:59' WHEN 4 THEN '2024-02-01T00:00'
+      ELSE strftime(ts + (CAST(k * 20 + (i * 7) % 10 AS INTEGER) * INTERVAL '1 minute')
+             + (CASE WHEN i % 31 = 9 THEN 35 ELSE 0 END * INTERVAL '1 day'), '%Y-%m-%dT%H:%M') END AS ets,
     strftime(ts, '%Y-%m-%dT%H:%M:%S') AS gen,
     CASE WHEN i % 17 = 3 THEN NULL
-         WHEN (b * 31 + k) % 11 = 0 THEN 1000 + (b * 737) % 4001 - 350
-         ELSE 1000 + (b * 737) % 4001 - 30 * k END AS w,
+         WHEN (b * 31 + k) % 11 = 0 THEN 1000 + (b * 737 + v) % 4001 - 350
+         ELSE 1000 + (b * 737 + v) % 4001 - 30 * k END AS w,
     CASE WHEN i % 23 = 5 THEN NULL
          WHEN k = 0 THEN 150 + (i * 13) % 70
          WHEN k = 1 THEN CASE WHEN b % 10 = 4 THEN 500 + (i * 17) % 240 ELSE 750 + (i * 17) % 250 END
@@ -34,7 +38,7 @@ fx_vals AS (
 fx_text AS (
   SELECT *,
     CASE WHEN k < 3 THEN 'KIT-' ELSE 'DIS-' END || CAST(i AS VARCHAR) AS eid,
-    'BATCH-' || CAST(b + 1001 AS VARCHAR) AS bid,
+    CASE WHEN i % 41 = 7 THEN 'null' ELSE '"BATCH-' || CAST(b + 1001 AS VARCHAR) || '"' END AS bid,
     CASE k WHEN 0 THEN 'PREPARING' WHEN 1 THEN 'COOKING' WHEN 2 THEN 'PACKING'
            WHEN 3 THEN 'LOADING' WHEN 4 THEN 'DELIVERY' ELSE 'DELIVERED' END AS act,
     CASE WHEN w IS NULL THEN 'null' ELSE
@@ -50,11 +54,11 @@ fx_json AS (
     '{' || concat_ws(', ',
       CASE WHEN bad <> 3 THEN '"event_id": "' || eid || '"' END,
       CASE WHEN bad <> 5 THEN '"event_type": "' || CASE WHEN k < 3 THEN 'kitchen_action' ELSE 'dispatch_action' END || '"' END,
-      '"source": "data_generator"',
+      '"source": "data_generator/' || event_type || '"',
       '"generated_at": "' || gen || '"') || '}' AS meta_txt,
     CASE WHEN k < 3 THEN
       '{' || concat_ws(', ',
-        CASE WHEN bad <> 4 THEN '"batch_id": "' || bid || '"' END,
+        CASE WHEN bad <> 4 THEN '"batch_id": ' || bid END,
         '"station_id": "' || CASE k WHEN 0 THEN 'prep_0' || CAST(1 + b % 4 AS VARCHAR)
                                     WHEN 1 THEN 'cook_0' || CAST(1 + b % 6 AS VARCHAR)
                                     ELSE 'pack_0' || CAST(1 + b % 4 AS VARCHAR) END || '"',
@@ -66,15 +70,17 @@ fx_json AS (
           '{"item": "item_' || CAST(2 * r + 1 AS VARCHAR) || '", "amount_kg": ' || CAST(a2 // 100 AS VARCHAR) || '.' || lpad(CAST(a2 % 100 AS VARCHAR), 2, '0') || '}, ' ||
           '{"item": "' || CASE WHEN r % 2 = 0 THEN 'item_9' ELSE 'item_8' END || '", "amount_kg": ' || CAST(a3 // 100 AS VARCHAR) || '.' || lpad(CAST(a3 % 100 AS VARCHAR), 2, '0') || '}]',
         '"temperature_celsius": ' || t_txt,
-        '"event_timestamp": "' || ets || '"') || '}'
+        '"event_timestamp": "' || ets || '"',
+        '"props": ' || props) || '}'
     ELSE
       '{' || concat_ws(', ',
-        CASE WHEN bad <> 4 THEN '"batch_id": "' || bid || '"' END,
+        CASE WHEN bad <> 4 THEN '"batch_id": ' || bid END,
         '"canteen_id": "cant_0' || CAST(1 + b % 5 AS VARCHAR) || '"',
         '"driver_id": "drv_0' || CAST(1 + b % 7 AS VARCHAR) || '"',
         CASE WHEN bad <> 6 THEN '"action": "' || act || '"' END,
         '"truck_temp_celsius": ' || t_txt,
-        '"event_timestamp": "' || ets || '"') || '}'
+        '"event_timestamp": "' || ets || '"',
+        '"props": ' || props) || '}'
     END AS payload_txt
   FROM fx_text
 ),
@@ -85,7 +91,8 @@ raw AS (
          ELSE '{' || concat_ws(', ',
                 CASE WHEN bad <> 1 THEN '"metadata": ' || meta_txt END,
                 CASE WHEN bad <> 2 THEN '"payload": ' || payload_txt END) || '}' END AS "value",
-    CASE WHEN k < 3 THEN 'kitchen_station_events' ELSE 'dispatch_events' END AS topic,
+    CASE WHEN event_type = 'error' AND i % 29 = 3 THEN 'audit_events'
+         WHEN k < 3 THEN 'kitchen_station_events' ELSE 'dispatch_events' END AS topic,
     ts AS "timestamp"
   FROM fx_json
 )"""
@@ -94,14 +101,15 @@ raw AS (
 _CURATED = r"""
 checked AS (
   SELECT *,
-    COALESCE(json_type("value") = 'OBJECT'
-      AND json_type("value", '$.metadata') = 'OBJECT'
-      AND json_type("value", '$.payload') = 'OBJECT'
-      AND json_exists("value", '$.metadata.event_id')
-      AND json_exists("value", '$.metadata.event_type')
-      AND json_exists("value", '$.payload.batch_id')
-      AND json_exists("value", '$.payload.action'), false) AS is_valid
-  FROM raw
+    CASE WHEN NOT coalesce(json_valid("value"), false) THEN false ELSE
+      COALESCE(json_type("value") = 'OBJECT'
+        AND json_type("value", '$.metadata') = 'OBJECT'
+        AND json_type("value", '$.payload') = 'OBJECT'
+        AND json_exists("value", '$.metadata.event_id')
+        AND json_exists("value", '$.metadata.event_type')
+        AND json_exists("value", '$.payload.batch_id')
+        AND json_exists("value", '$.payload.action'), false) END AS is_valid
+  FROM raw WHERE topic IN ('kitchen_station_events', 'dispatch_events')
 ),
 routed AS (
   SELECT *,
@@ -170,7 +178,7 @@ dlq AS (
       json_extract_string("value", '$.payload.event_timestamp') AS payload_timestamp,
       json_extract_string("value", '$.metadata.event_id') AS event_id,
       json_extract_string("value", '$.payload.batch_id') AS batch_id,
-      CASE WHEN NOT starts_with("value", '{') THEN 'Invalid JSON String'
+      CASE WHEN NOT starts_with(ltrim("value"), '{') THEN 'Invalid JSON String'
            WHEN json_extract_string("value", '$.metadata') IS NULL THEN 'Missing Metadata'
            WHEN json_extract_string("value", '$.metadata.event_id') IS NULL THEN 'Missing Event ID'
            WHEN json_extract_string("value", '$.metadata.event_type') IS NULL THEN 'Missing Event Type'
@@ -196,3 +204,23 @@ def in_day(col: str = "event_date") -> str:
 
 def in_month(col: str = "event_date") -> str:
     return f"{col} >= {_MONTH_START} AND {col} < {_MONTH_END}"
+
+
+_DAMAGED = r"""
+damaged AS (
+  SELECT "key", topic, "timestamp", length("value")::INT % 7 AS form,
+    CASE length("value") % 7
+      WHEN 0 THEN "value" || ' trailing'
+      WHEN 1 THEN "value" || ',' || "value"
+      WHEN 2 THEN translate("value", '"', '''')
+      WHEN 3 THEN '  ' || chr(10) || "value" || ' '
+      WHEN 4 THEN replace("value", 'data_', 'data' || chr(10))
+      WHEN 5 THEN "value" || '][' || "value"
+      ELSE "value" END AS "value"
+  FROM raw)"""
+
+
+def malformed(select: str) -> str:
+    """``select`` over the routed form of damaged messages."""
+    checked = _CURATED[:_CURATED.index("k_parsed AS")].replace("FROM raw WHERE", "FROM damaged WHERE").rstrip().rstrip(",")
+    return "WITH " + _FIXTURE + "," + _DAMAGED + "," + checked + "\n" + select

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from batchtrace.functions.period import Period
 from batchtrace.operators import dlq as Q
 from batchtrace.operators import reports as R
-from batchtrace.operators.ingest import message_key
-from batchtrace.plans import oracle as O
+from batchtrace.operators.ingest import message_key, route
+from catalog import oracle as O
 from batchtrace.plans.curated import Curated
-from batchtrace.plans.warehouse import curated_for, warehouse_for
+from catalog.fixture import load_raw_messages
+from catalog.stores import curated_for, warehouse_for
 
 DAY = Period.day("2024-01-05")
 MONTH = Period.month("2024-01")
@@ -77,7 +78,7 @@ def q_route_counts(spark, sf_dir):
 @register("message_key", O.with_ctes(
     "SELECT topic, \"timestamp\", json_extract_string(\"value\", '$.metadata.event_id') AS message_key FROM raw"))
 def q_message_key(spark, sf_dir):
-    raw = _routed(spark, sf_dir)
+    raw = load_raw_messages(spark, sf_dir)
     return raw.select("topic", "timestamp", message_key(F.col("value")).alias("message_key"))
 
 
@@ -91,6 +92,27 @@ def q_raw_archive(spark, sf_dir):
             .unionByName(wh.raw_archive(spark, "dispatch").withColumn("archive", F.lit("raw_dispatch"))))
 
 
+def _malformed(raw: DataFrame) -> DataFrame:
+    """Every message in one of seven damaged or merely odd forms, by its place."""
+    v, form = F.col("value"), F.length("value") % 7
+    damaged = (F.when(form == 0, F.concat(v, F.lit(" trailing")))
+               .when(form == 1, F.concat(v, F.lit(","), v))
+               .when(form == 2, F.translate(v, '"', "'"))
+               .when(form == 3, F.concat(F.lit("  \n"), v, F.lit(" ")))
+               .when(form == 4, F.replace(v, F.lit("data_"), F.lit("data\n")))
+               .when(form == 5, F.concat(v, F.lit("]["), v))
+               .otherwise(v))
+    return raw.withColumns({"value": damaged, "form": form})
+
+
+@register("envelope_validation_malformed", O.malformed(
+    "SELECT topic, form, route, count(*) AS n_messages FROM routed GROUP BY topic, form, route"))
+def q_envelope_validation_malformed(spark, sf_dir):
+    """Strict validation of damaged messages (forms 3 and 6 stay valid where they were)."""
+    return route(_malformed(load_raw_messages(spark, sf_dir))).groupBy("topic", "form", "route").agg(
+        F.count(F.lit(1)).alias("n_messages"))
+
+
 # --- curated tables ---------------------------------------------------------
 
 @register("kitchen_flags", O.with_ctes(
@@ -229,5 +251,5 @@ def q_dlq_reason_counts(spark, sf_dir):
 @lru_cache(maxsize=1)
 def all_queries() -> tuple[dict[str, QueryFn], dict[str, str]]:
     # Importing the other query modules registers their entries.
-    from batchtrace.plans import queries_io, queries_more  # noqa: F401
+    from catalog import queries_io, queries_more  # noqa: F401
     return dict(SPARK), dict(SQL)

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from batchtrace.operators import graph as G
 from batchtrace.operators import journey as J
-from batchtrace.plans import oracle as O
-from batchtrace.plans.queries import BATCH, DAY, INGREDIENT, STATION, _c, register
-from batchtrace.plans.warehouse import graph_for
+from catalog import oracle as O
+from batchtrace.plans.warehouse import Warehouse, merge_graph
+from batchtrace.session import scratch_path
+from catalog.queries import BATCH, DAY, INGREDIENT, SQL, STATION, _c, register
+from catalog.stores import graph_for
 
 # --- journey and league table -------------------------------------------------
 
@@ -31,7 +33,7 @@ def q_batch_journey(spark, sf_dir):
 
 
 @register("batch_exists", O.with_ctes(f"""
-SELECT '{BATCH}' AS batch_id, k AS kitchen_events, d AS dispatch_events, (k + d) > 0 AS found
+SELECT '{BATCH}' AS batch_id, k > 0 AS in_kitchen, d > 0 AS in_dispatch, (k + d) > 0 AS found
 FROM (SELECT (SELECT count(*) FROM kitchen WHERE batch_id = '{BATCH}') AS k,
              (SELECT count(*) FROM dispatch WHERE batch_id = '{BATCH}') AS d)"""))
 def q_batch_exists(spark, sf_dir):
@@ -121,7 +123,7 @@ def q_graph_nodes(spark, sf_dir):
 def _edge_query(rel: str):
     def fn(spark, sf_dir):
         c = _c(spark, sf_dir)
-        return getattr(G.build_edges(c.kitchen, c.dispatch), rel)
+        return getattr(G.build_edges(c.kitchen, c.dispatch), rel).drop("event_day")
     return fn
 
 
@@ -150,6 +152,37 @@ def q_graph_upsert(spark, sf_dir):
             .unionByName(merged.delivers.select(F.lit("DELIVERS").alias("rel"), *cols)))
 
 
+def _merged_graph(spark, sf_dir):
+    """A stored graph of the first half of the month, then two merges into it:
+    the rest, and the first half again (which must change nothing)."""
+    c = _c(spark, sf_dir)
+    early = F.coalesce(F.col("event_date") < F.lit(_SPLIT_DAY).cast("date"), F.lit(False))
+    wh = Warehouse(scratch_path(spark, "graph-merge"))
+    for part in (early, ~early, early):
+        merge_graph(spark, wh, c.kitchen.filter(part), c.dispatch.filter(part))
+    return wh
+
+
+@register("graph_upsert_stored", _g("""
+SELECT 'PROCESSED' AS rel, src, dst, action, "time", event_id FROM g_processed
+UNION ALL SELECT 'DELIVERS', src, dst, action, "time", event_id FROM g_delivers
+UNION ALL SELECT 'USES_RECIPE', src, dst, NULL, NULL, NULL FROM g_uses_recipe
+UNION ALL SELECT 'REQUIRES', src, dst, NULL, NULL, NULL FROM g_requires
+UNION ALL SELECT 'DESTINED_FOR', src, dst, NULL, NULL, NULL FROM g_destined_for"""))
+def q_graph_upsert_stored(spark, sf_dir):
+    out = None
+    for rel, df in _merged_graph(spark, sf_dir).graph_edges(spark).as_dict().items():
+        texts = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in ("action", "time", "event_id")]
+        part = df.select(F.lit(rel.upper()).alias("rel"), "src", "dst", *texts)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("graph_nodes_stored", SQL["graph_nodes"])
+def q_graph_nodes_stored(spark, sf_dir):
+    return _merged_graph(spark, sf_dir).graph_nodes(spark)
+
+
 # --- path queries ---------------------------------------------------------------
 
 @register("ingredient_recall", _g(f"""

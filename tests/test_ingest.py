@@ -32,6 +32,19 @@ CASES = [
     ("", C.DISPATCH_TOPIC, C.ROUTE_DLQ),
     (None, C.DISPATCH_TOPIC, C.ROUTE_DLQ),
     ("[1, 2]", C.DISPATCH_TOPIC, C.ROUTE_DLQ),
+    # exactly one strict document: white space around it is fine, anything else is not
+    (" \n" + GOOD + "\t ", C.KITCHEN_TOPIC, C.ROUTE_CLEAN_KITCHEN),
+    (GOOD + " junk", C.KITCHEN_TOPIC, C.ROUTE_DLQ),
+    (GOOD + GOOD, C.KITCHEN_TOPIC, C.ROUTE_DLQ),
+    (GOOD + "," + GOOD, C.KITCHEN_TOPIC, C.ROUTE_DLQ),
+    (GOOD + "][" + GOOD, C.KITCHEN_TOPIC, C.ROUTE_DLQ),
+    (GOOD + "]][[" + GOOD, C.KITCHEN_TOPIC, C.ROUTE_DLQ),
+    (GOOD + ',"end":true}{"d":' + GOOD, C.KITCHEN_TOPIC, C.ROUTE_DLQ),
+    (GOOD + ',"x":1', C.KITCHEN_TOPIC, C.ROUTE_DLQ),
+    (GOOD + "}", C.KITCHEN_TOPIC, C.ROUTE_DLQ),
+    (GOOD.replace('"', "'"), C.KITCHEN_TOPIC, C.ROUTE_DLQ),
+    (GOOD.replace("COOKING", "COO\nKING"), C.KITCHEN_TOPIC, C.ROUTE_DLQ),
+    (GOOD.replace("COOKING", "COO\x01KING"), C.KITCHEN_TOPIC, C.ROUTE_DLQ),
 ]
 
 

@@ -1,13 +1,12 @@
 """Journeys, delivery spans, league table, ranking and graph queries."""
 
-import random
 from datetime import date
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from batchtrace import schemas
-from batchtrace.functions.ranking import with_global_position
 from batchtrace.operators import graph as G
 from batchtrace.operators import journey as J
 
@@ -56,17 +55,9 @@ def test_journey_order_and_exists(spark):
     assert [(r["source"], r["location"]) for r in j] == [
         ("Kitchen", "Station None"), ("Kitchen", "Station cook_01"), ("Dispatch", "Driver drv1")]
     e = J.batch_exists(k, d, "B1").collect()[0]
-    assert (e["kitchen_events"], e["dispatch_events"], e["found"]) == (2, 1, True)
-    assert J.batch_exists(k, d, "nope").collect()[0]["found"] is False
-
-
-def test_global_position_matches_window(spark):
-    rnd = random.Random(7)
-    rows = [(i, rnd.randint(0, 50) / 2.0) for i in range(2000)]
-    df = spark.createDataFrame(rows, "id long, v double").repartition(13)
-    got = with_global_position(df, [F.col("v"), F.col("id")], "pos")
-    ref = df.withColumn("pos", F.row_number().over(Window.orderBy("v", "id")))
-    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in ref.collect())
+    assert (e["in_kitchen"], e["in_dispatch"], e["found"]) == (True, True, True)
+    assert tuple(J.batch_exists(k, d, "nope").first())[1:] == (False, False, False)
+    assert tuple(J.batch_exists(k, d.limit(0), "B1").first())[1:] == (True, False, True)
 
 
 def _graph_input(spark):
@@ -107,3 +98,44 @@ def test_recall_and_risk(spark):
     risk = [tuple(r) for r in G.contamination_risk(e, "cook_01", "2024-01-05").collect()]
     assert risk == [("cook_01", "B1", "pack_01", 1, "drv_01", "cant_01"),
                     ("cook_01", "B2", "None", 0, "drv_02", "cant_02")]
+
+
+def test_a_day_is_needed_and_the_answer_does_not_depend_on_storage(spark):
+    from batchtrace.plans.warehouse import Warehouse, merge_graph
+    from batchtrace.session import scratch_path
+    k, d = _graph_input(spark)
+    memory = G.build_edges(k, d)
+    with pytest.raises(ValueError):
+        G.ingredient_recall(memory, "x", "2024-01")
+    wh = merge_graph(spark, Warehouse(scratch_path(spark, "g")), k, d)
+    stored = wh.graph_edges(spark)
+    for a, b in zip(memory.as_dict().values(), stored.as_dict().values(), strict=True):
+        assert sorted(a.columns) == sorted(b.columns)
+        assert sorted(map(repr, a.select(*sorted(a.columns)).collect())) == sorted(map(repr, b.select(*sorted(b.columns)).collect()))
+    for q in (lambda e: G.ingredient_recall(e, "x", "2024-01-05"), lambda e: G.contamination_risk(e, "cook_01", "2024-01-05")):
+        assert [tuple(r) for r in q(memory).collect()] == [tuple(r) for r in q(stored).collect()]
+    plan = G.contamination_risk(stored, "cook_01", "2024-01-05")._jdf.queryExecution().executedPlan().toString()
+    assert ">= 2024-01-05" in plan  # the later events' scan prunes as well
+
+
+def test_merge_into_the_stored_graph_is_idempotent(spark):
+    from batchtrace.plans.warehouse import Warehouse, merge_graph
+    from batchtrace.session import scratch_path
+    k, d = _graph_input(spark)
+    wh = Warehouse(scratch_path(spark, "g"))
+    early = F.col("event_id") < "K4"
+    for part in (k.filter(early), k.filter(~early), k):
+        merge_graph(spark, wh, part, d)
+    whole, got = G.build_edges(k, d).as_dict(), wh.graph_edges(spark).as_dict()
+    for rel, df in whole.items():
+        cols = sorted(df.columns)
+        assert sorted(map(repr, df.select(*cols).collect())) == sorted(map(repr, got[rel].select(*cols).collect()))
+    nodes = G.build_nodes(k, d)
+    assert sorted(map(tuple, wh.graph_nodes(spark).collect())) == sorted(map(tuple, nodes.select("label", "id").collect()))
+
+
+def test_offsets_in_times_are_honoured(spark):
+    rows = [("B1", "d1", "LOADING", "2024-01-05T06:00+02:00"), ("B1", "d1", "DELIVERED", "2024-01-05T06:30+00:00"),
+            ("B2", "d1", "LOADING", "2024-01-05T06:00"), ("B2", "d1", "DELIVERED", "2024-01-05T06:30")]
+    d = spark.createDataFrame(rows, "batch_id string, driver_id string, action string, event_timestamp string")
+    assert {r.batch_id: r.delivery_time_mins for r in J.delivery_spans(d).collect()} == {"B1": 150, "B2": 30}
