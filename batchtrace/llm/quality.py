@@ -40,13 +40,15 @@ from batchtrace.llm.common import chunks, stored
 
 SLOT_BITS = 18
 #: Rated documents that the fit uses at most, in expectation.
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000
 #: A slot needs so many texts of the sample to get a weight.
 LEAST_TEXTS = 10
 
 #: Bytes of a word's beginning that count as features: inflected forms share them.
 STEMS = (4, 5)
 
+_FIT_BLOCK = 500
+
 _SMALL = bytes([*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)])
 _SHAPE = bytes(ord("A") if 65 <= b <= 90 else ord("0") if 48 <= b <= 57 else b for b in range(256))
 
@@ -86,13 +88,17 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int = SLOT_BIT
     n_slots, top = 1 << bits, int(grades.max()) if len(grades) else 0
     if top < 1:
         return OrdinalModel(np.zeros(n_slots, np.float32), np.zeros(0))
-    sizes = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows) if sizes.sum() else np.zeros(0, np.int32)
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    often = np.bincount(flat, minlength=n_slots) >= least
-    used = often[flat]
-    names, flat = np.unique(flat[used], return_inverse=True)
-    owner = owner[used]
+    texts = np.zeros(n_slots, np.int64)
+    for r in rows:
+        texts[r] += 1  # the slots of a row are distinct
+    names = np.flatnonzero(texts >= least)
+    place = np.full(n_slots, -1, np.int32)
+    place[names] = np.arange(len(names))
+    blocks = []  # some rows at a time: their rows' range, the owner and the weight index of each feature
+    for at in range(0, len(rows), _FIT_BLOCK):
+        part = [p[p >= 0] for p in (place[r] for r in rows[at:at + _FIT_BLOCK])]
+        owner = np.repeat(np.arange(len(part), dtype=np.int32), [len(p) for p in part])
+        blocks.append((slice(at, at + len(part)), len(part), owner, np.concatenate(part)))
     shares = np.cumsum(np.bincount(grades, minlength=top + 1))[:-1] / len(grades)
     t = np.log(np.clip(shares, 1e-3, 1 - 1e-3) / (1 - np.clip(shares, 1e-3, 1 - 1e-3)))
     x = np.concatenate([np.zeros(len(names)), t[:1], np.log(np.maximum(np.diff(t), 1e-2))])  # weights, first, log gaps
@@ -101,7 +107,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int = SLOT_BIT
     for step in range(1, steps + 1):
         w, gaps = x[:len(names)], np.exp(x[len(names) + 1:])
         t = x[len(names)] + np.concatenate([[0.0], np.cumsum(gaps)])
-        s = np.bincount(owner, w[flat], len(rows))
+        s = np.concatenate([np.bincount(owner, w[flat], n) for _, n, owner, flat in blocks])
         edge = np.concatenate([[-np.inf], t, [np.inf]])
         hi, lo = sigmoid(edge[grades + 1] - s), sigmoid(edge[grades] - s)
         p = np.maximum(hi - lo, 1e-9)
@@ -109,7 +115,10 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int = SLOT_BIT
         g_s = (d_hi - d_lo) / len(rows)  # of the loss by the score
         g_t = np.bincount(grades, -d_hi, top + 1)[:-1] + np.bincount(grades, d_lo, top + 1)[1:]
         g_t /= len(rows)
-        g = np.concatenate([np.bincount(flat, g_s[owner], len(names)) + ridge * w, [g_t.sum()],
+        g_w = ridge * w
+        for rows_of, _, owner, flat in blocks:
+            g_w += np.bincount(flat, g_s[rows_of][owner], len(names))
+        g = np.concatenate([g_w, [g_t.sum()],
                             np.cumsum(g_t[::-1])[::-1][1:] * gaps])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         x = x - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
@@ -134,11 +143,10 @@ def fit(docs: DataFrame, ratings: DataFrame, bits: int = SLOT_BITS, fit_rows: in
             found = [slots(t, bits).tobytes() for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["grade", "slots"])
 
-    rows = stored(texts.mapInArrow(features, "grade int, slots binary"), "rated").toArrow()
-    found = [np.frombuffer(b, np.int32) for b in rows.column("slots").to_pylist()]
-    grades = np.array(rows.column("grade").to_pylist(), np.int64)
-    order = sorted(range(len(found)), key=lambda i: (int(grades[i]), found[i].tobytes()))  # the same sums on every run
-    return fit_ordinal([found[i] for i in order], grades[order] if order else grades, bits)
+    # in a fixed order, so that every run adds up the same sums
+    rows = stored(texts.mapInArrow(features, "grade int, slots binary"), "rated").orderBy("grade", "slots").toArrow()
+    found = [np.frombuffer(b.as_buffer(), np.int32) for chunk in rows.column("slots").chunks for b in chunk]
+    return fit_ordinal(found, np.array(rows.column("grade").to_pylist(), np.int64), bits)
 
 
 def score(docs: DataFrame, model: OrdinalModel, bits: int = SLOT_BITS, id_col: str = "doc_id",
