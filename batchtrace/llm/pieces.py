@@ -35,15 +35,24 @@ class PieceSplitter:
 
     def pieces(self, text: str) -> list[str]:
         """Pieces in order; a special string is one piece, as written."""
-        parts = self.cut(text)
-        if len(parts) == 1:
-            return self._plain(text)
+        return self._sections(text, self.plain)
+
+    def words(self, text: str) -> list[str]:
+        """Special strings and runs between white space, as written; the pieces
+        of the text are the pieces of these in order. Texts with separators that
+        are white space in Python only come as pieces already."""
+        odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
+        return self._sections(text, self.plain if odd else str.split)
+
+    def _sections(self, text: str, split) -> list[str]:
+        if not any(s in text for s in self.special):
+            return split(text)
         out: list[str] = []
-        for i, part in enumerate(parts):
-            out += [part] if i % 2 else self._plain(part)
+        for i, part in enumerate(self.cut(text)):
+            out += [part] if i % 2 else split(part)
         return out
 
-    def _plain(self, text: str) -> list[str]:
+    def plain(self, text: str) -> list[str]:
         if text.isascii():
             return self.find(text.lower())
         try:

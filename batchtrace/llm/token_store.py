@@ -14,8 +14,9 @@ first one's; only files named in the manifest, a Parquet table committed by
 Spark, count. ``read_tokens`` gets global starts from the manifest's sums.
 
 Ids are the tokenizers library's. A word's ids do not depend on its neighbours,
-so each distinct word piece is encoded once per worker, by the library's model,
-and looked up after that; tests compare with the library on whole texts.
+so a worker has each distinct word encoded by the library's model and looks it
+up after that (a bounded cache keeps the words that come again); tests compare
+with the library on whole texts.
 
 Results: documents ascend by id, null ids first, rows of one id by text. Null
 and empty texts hold the end id alone. An empty table writes no shard.
@@ -43,31 +44,56 @@ MAGIC = b"TIDS1"
 _HEAD = "<5sBQQQ"
 #: Ids of one shard at most, but for a longer single document.
 SHARD_IDS = 4_000_000
-CACHE_PIECES = 150_000
+#: Words, and word pieces, that a worker remembers.
+CACHE_KEYS = 250_000
 
 
-class PieceEncoder(dict):
-    """Piece -> its ids as little-endian bytes, by the tokenizers library."""
+class KeptIfReused(dict):
+    """A bounded cache; when full it forgets the keys that only one call has asked for."""
 
-    def __init__(self, splitter: PieceSplitter, width: int, limit: int = CACHE_PIECES):
+    def __init__(self, limit: int):
+        self.limit, self.once = limit, set()
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Those of ``keys`` that are to be computed; there is room for them afterwards."""
+        self.once -= keys
+        if len(self) + len(keys) > self.limit:
+            for key in self.once:
+                del self[key]
+            self.once.clear()
+            if len(self) + len(keys) > self.limit:
+                self.clear()
+        new = [k for k in keys if k not in self]
+        self.once.update(new)
+        return new
+
+
+class WordEncoder:
+    """Words (runs between white space) to ids, as little-endian bytes, by the tokenizers library."""
+
+    def __init__(self, splitter: PieceSplitter, width: int, limit: int = CACHE_KEYS):
         from tokenizers import Tokenizer, pre_tokenizers
         spec = splitter.spec | {"normalizer": None, "added_tokens": [], "post_processor": None}
         self.model = Tokenizer.from_str(json.dumps(spec))
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.limit, self.width = limit, width
+        self.splitter, self.width = splitter, width
         self.special = {s: i.to_bytes(width, "little") for s, i in splitter.special.items()}
-        self.update(self.special)
-
-    def learn(self, pieces: set[str]) -> None:
-        if len(self) + len(pieces) > self.limit:
-            self.clear()
-            self.update(self.special)
-        new = [p for p in pieces if p not in self]
-        if new:
-            code = self.model.encode(new, is_pretokenized=True, add_special_tokens=False)
+        self.words, self.pieces = KeptIfReused(limit), KeptIfReused(limit)
+
+    def encode(self, texts: list[list[str]]) -> list[bytes]:
+        """Ids of texts given as their words; each new word piece goes to the library once."""
+        new = self.words.missing(set().union(*texts))
+        split = [[w] if w in self.special else self.splitter.plain(w) for w in new]
+        unknown = [p for p in self.pieces.missing(set().union(*split)) if p not in self.special]
+        if unknown:
+            code = self.model.encode(unknown, is_pretokenized=True, add_special_tokens=False)
             ids = np.array(code.ids, f"<u{self.width}").tobytes()
-            ends = self.width * np.searchsorted(np.array(code.word_ids), np.arange(len(new) + 1))
-            self.update(zip(new, (ids[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())), strict=True))
+            ends = (self.width * np.searchsorted(np.array(code.word_ids), np.arange(len(unknown) + 1))).tolist()
+            self.pieces.update(zip(unknown, (ids[i:j] for i, j in zip(ends, ends[1:])), strict=True))
+        self.pieces.update(self.special)
+        of = self.pieces.__getitem__
+        self.words.update(zip(new, (b"".join(map(of, s)) for s in split), strict=True))
+        return [b"".join(map(self.words.__getitem__, t)) for t in texts]
 
 
 def id_width(spec: str) -> int:
@@ -128,7 +154,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, out_dir: str, end_id: int = 2
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = PieceSplitter(spec.value)
-        encoder = PieceEncoder(splitter, width)
+        encoder = WordEncoder(splitter, width)
         splitter.spec.clear()  # the model has it
         end = end_id.to_bytes(width, "little")
         target, folder = _file_system(out_dir)
@@ -146,10 +172,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, out_dir: str, end_id: int = 2
             return row
 
         for batch in chunks(batches, "text", 1 << 20):
-            split = [splitter.pieces(t) for t in batch.column(1).to_pylist()]
-            encoder.learn(set().union(*split))
-            for doc_id, pieces in zip(batch.column(0).to_pylist(), split, strict=True):
-                code = b"".join(map(encoder.__getitem__, pieces)) + end
+            codes = encoder.encode([splitter.words(t) for t in batch.column(1).to_pylist()])
+            for doc_id, code in zip(batch.column(0).to_pylist(), codes, strict=True):
+                code += end
                 if ends and (len(buffer) + len(code)) // width > shard_ids:
                     yield flush()
                 buffer += code

@@ -21,7 +21,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 def tools():
     spec = open(PATH, encoding="utf-8").read()
     splitter = PieceSplitter(spec)
-    return Tokenizer.from_file(PATH), splitter, MergeCounter(splitter), token_store.PieceEncoder(splitter, 2)
+    return Tokenizer.from_file(PATH), splitter, MergeCounter(splitter), token_store.WordEncoder(splitter, 2)
 
 
 @settings(max_examples=300, deadline=None)
@@ -30,10 +30,8 @@ def tools():
 def test_pieces_agree_with_the_library(tools, text):
     library, splitter, counter, encoder = tools
     ids = library.encode(text, add_special_tokens=False).ids
-    pieces = splitter.pieces(text)
-    assert sum(counter[p] for p in pieces) == len(ids)
-    encoder.learn(set(pieces))
-    assert np.frombuffer(b"".join(encoder[p] for p in pieces), "<u2").tolist() == ids
+    assert sum(counter[p] for p in splitter.pieces(text)) == len(ids)
+    assert np.frombuffer(encoder.encode([splitter.words(text)])[0], "<u2").tolist() == ids
 
 
 def test_long_piece_merges(tools):
@@ -48,6 +46,17 @@ def test_caches_are_bounded(tools):
     assert [small[w] for w in "abcdefghij"] == [1] * 10 and len(small) <= 5
 
 
+def test_encoder_forgets_and_stays_right(tools):
+    library, splitter, _, _ = tools
+    encoder = token_store.WordEncoder(splitter, 2, limit=40)
+    for start in range(0, 300, 13):
+        text = " ".join([f"w{n % 97}x," for n in range(start, start + 20)] + ["the<|endoftext|>", "river"])
+        got = encoder.encode([splitter.words(text), splitter.words("river")])
+        assert np.frombuffer(got[0], "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(got[1], "<u2").tolist() == library.encode("river", add_special_tokens=False).ids
+        assert len(encoder.words) <= 60 and len(encoder.pieces) <= 140
+
+
 def test_counts_of_odd_documents(spark, odd, empty, tools):
     library = tools[0]
     rows = count_tokens(odd, PATH, limit=100).collect()
