@@ -26,15 +26,20 @@ def is_valid_envelope(value: Column) -> Column:
     ``from_json`` stops after the first value of a text, so the text is parsed
     as a member of an object whose last member must be reached; text that adds
     members of its own is no single element of an array. Together the two tests
-    accept exactly one strict JSON document. The four key tests are the same
-    ``from_json`` expression, which a projection evaluates once.
+    accept exactly one strict JSON document. The parsed text is bound by a
+    one-element ``exists``, so the key tests share one parse also where
+    Catalyst inlines them into a pushed filter, which has no common
+    subexpressions.
     """
     wrapped = F.from_json(F.concat(F.lit('{"d":'), value, F.lit(',"end":true}')), schemas.WRAPPED_KEYS, _STRICT)
-    meta, payload = wrapped["d"]["metadata"], wrapped["d"]["payload"]
+
+    def has_keys(w: Column) -> Column:
+        meta, payload = w["d"]["metadata"], w["d"]["payload"]
+        return (w["end"] & F.map_contains_key(meta, "event_id") & F.map_contains_key(meta, "event_type")
+                & F.map_contains_key(payload, "batch_id") & F.map_contains_key(payload, "action"))
+
     one_document = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
-    return F.coalesce(
-        wrapped["end"] & one_document & F.map_contains_key(meta, "event_id") & F.map_contains_key(meta, "event_type")
-        & F.map_contains_key(payload, "batch_id") & F.map_contains_key(payload, "action"), F.lit(False))
+    return F.coalesce(F.exists(F.array(wrapped), has_keys) & one_document, F.lit(False))
 
 
 def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
