@@ -26,6 +26,9 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
         "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
 FURNITURE_TAGS = frozenset("""aside button dialog footer form head iframe input label menu nav noembed noframes noscript
     object script select style svg template textarea title""".split())
+#: Elements that hold blocks; inside an article only those made of links may be template.
+BOXES = frozenset("""address aside center details dialog div dl fieldset figure footer form header menu nav ol section table
+    ul""".split())
 FURNITURE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 FURNITURE_NAMES = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments
     consent cookie cookies disclaimer footer gdpr header masthead menu modal nav navbar navigation newsletter notice
@@ -40,13 +43,13 @@ _NAME = re.compile(r"[a-zA-Z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "parts", "names", "role", "hidden", "digest", "size", "has_main", "has_title")
+    __slots__ = ("tag", "parent", "parts", "names", "role", "hidden", "digest", "size", "links", "has_main", "has_title")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str = ""):
         self.tag, self.parent = tag, parent
         self.parts: list[Element | str] = []
         self.names, self.role, self.hidden = "", "", False
-        self.digest, self.size, self.has_main, self.has_title = 0, 0, False, False
+        self.digest, self.size, self.links, self.has_main, self.has_title = 0, 0, 0, False, False
         if attributes:
             for key, a, b, c in _ATTRIBUTE.findall(attributes):
                 key, value = key.lower(), (a or b or c)
@@ -125,19 +128,38 @@ def measure(every: list[Element]) -> None:
                 told.append(f"\x01{part.digest:016x}")
                 if part.tag not in RAW:
                     e.size += part.size
+                    e.links += part.links
                 e.has_main |= part.has_main
                 e.has_title |= part.has_title
         e.has_main |= e.tag in ("article", "main") or e.role == "main"
         e.has_title |= e.tag == "h1"
+        if e.tag == "a":
+            e.links = e.size
         e.digest = xxhash.xxh64_intdigest("\x02".join(told).encode("utf-8", "surrogatepass"))
 
 
+def _signed(digest: int) -> int:
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
+def _may_recur(e: Element, in_article: bool) -> bool:
+    """Whether the element can be a site's template: prose inside an article never is."""
+    if not e.size or e.tag in RAW or e.has_main or e.tag in ("#root", "html", "body", "head"):
+        return False
+    return not in_article or (e.tag in BOXES and 2 * e.links > e.size)
+
+
+def _in_article(every: list[Element]) -> dict[Element, bool]:
+    """Whether each element is, or lies inside, an article or the main part."""
+    inside = {every[0]: False}
+    for e in every[1:]:
+        inside[e] = inside[e.parent] or e.tag in ("article", "main") or e.role == "main"
+    return inside
+
+
 def subtrees(page: str) -> set[int]:
-    """Signed 64-bit hashes of the page's subtrees that hold text, but for whole-page containers."""
-    _, every = parse(page)
-    measure(every)
-    return {e.digest - (1 << 64) if e.digest >> 63 else e.digest for e in every
-            if e.size and e.tag not in RAW and not e.has_main and e.tag not in ("#root", "html", "body", "head")}
+    """Signed 64-bit hashes of the page's subtrees that may be template."""
+    return content(page)[1]
 
 
 def _furniture(e: Element, in_article: bool, template: frozenset[int]) -> bool:
@@ -146,7 +168,7 @@ def _furniture(e: Element, in_article: bool, template: frozenset[int]) -> bool:
         return True
     if e.has_main:
         return False
-    if (e.digest - (1 << 64) if e.digest >> 63 else e.digest) in template:
+    if _may_recur(e, in_article) and _signed(e.digest) in template:
         return True
     if e.tag in FURNITURE_TAGS or e.role in FURNITURE_ROLES:
         return True
@@ -159,10 +181,21 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     """Blocks of the main text, one a line; subtrees whose hash is in ``template`` are left out."""
     root, every = parse(page)
     measure(every)
+    return _text(root, every, template)
+
+
+def content(page: str) -> tuple[str, set[int]]:
+    """The main text with no template known, and the hashes of ``subtrees``, by one parse."""
+    root, every = parse(page)
+    measure(every)
+    inside = _in_article(every)
+    return _text(root, every, frozenset()), {_signed(e.digest) for e in every if _may_recur(e, inside[e])}
+
+
+def _text(root: Element, every: list[Element], template: frozenset[int]) -> str:
     skipped = {root: False}
-    article = {root: False}
+    article = _in_article(every)
     for e in every[1:]:
-        article[e] = article[e.parent] or e.tag in ("article", "main") or e.role == "main"
         skipped[e] = skipped[e.parent] or _furniture(e, article[e.parent], template)
     kept = [e for e in every[1:] if not skipped[e]]
     main = max((e for e in kept if e.tag == "article" and not any_above(e, "article")), key=lambda e: e.size, default=None) \

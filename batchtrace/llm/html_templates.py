@@ -2,7 +2,9 @@
 
 Pass 1 hashes every element subtree that holds text and counts, per host, the
 distinct pages it occurs on (partial counts before the shuffle; host and hash
-together are the key, so a hot host is spread over its hashes). A subtree on at
+together are the key, so a hot host is spread over its hashes). Pages are
+distinct by their text, so copies of one article under other page ids count once.
+Inside an article or main part only boxes made of links are counted, never prose. A subtree on at
 least ``share`` of the host's distinct pages, and on ``least_pages`` at least, is
 template. With a share of one half a host has at most twice as many template
 subtrees as its pages have on average, so one row per host holds them.
@@ -11,7 +13,7 @@ Pass 2 joins the hosts' rows to the pages (broadcast only if few hosts have
 any) and extracts each page's text without template subtrees and without menus,
 headers, footers, sidebars, notices, adverts, forms, scripts and comments.
 
-Results: null html is empty and gives ''. Pages that repeat count once for the
+Results: null html is empty and gives ''. Pages that repeat, or have the same text, count once for the
 templates; each still gives its row. A null or hostless url belongs to no site,
 so nothing recurs for it.
 """
@@ -21,11 +23,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchtrace.llm.common import chunks, small_side, stored
-from batchtrace.llm.html_page import main_text, subtrees
+from batchtrace.llm.html_page import content, main_text
 
 SHARE, LEAST_PAGES = 0.5, 5
 
@@ -38,19 +41,23 @@ def host(url: Column) -> Column:
 def templates(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES, url_col: str = "url",
               html_col: str = "html") -> DataFrame:
     """``host, template``: hashes of each site's recurring subtrees."""
-    kept = pages.select(host(F.col(url_col)).alias("host"), F.xxhash64(html_col).alias("page"),
-                        F.col(html_col).alias("html")).filter((F.col("host") != "") & F.col("html").isNotNull())
+    kept = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html")) \
+        .filter((F.col("host") != "") & F.col("html").isNotNull())
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "html"):
-            found = [sorted(subtrees(h)) for h in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int64()))],
-                                             ["host", "page", "trees"])
-
-    seen = kept.mapInArrow(hashes, "host string, page long, trees array<long>")
-    trees = seen.select("host", "page", F.explode("trees").alias("tree"))
+            bodies, found = [], []
+            for h in b.column(1).to_pylist():
+                text, trees = content(h)
+                bodies.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63))
+                found.append(sorted(trees))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bodies, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                                             ["host", "body", "trees"])
+
+    seen = stored(kept.mapInArrow(hashes, "host string, body long, trees array<long>"), "subtrees")
+    trees = seen.select("host", "body", F.explode("trees").alias("tree"))
     times = trees.distinct().groupBy("host", "tree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
-    counts = kept.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
+    counts = seen.select("host", "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     recurring = times.join(counts, "host").filter(F.col("n") >= F.col("n_pages") * F.lit(share))
     return recurring.groupBy("host").agg(F.sort_array(F.collect_list("tree")).alias("template"))
 

@@ -62,3 +62,18 @@ def test_articles_of_the_test_pages_are_whole(spark, sf_small):
         blocks = [" ".join(H.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br>", " ", b))).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         want[r.page_id] = "\n".join(b for b in blocks if b)
     assert {r.page_id: r.text for r in T.extract(pages).collect()} == want
+
+
+def test_copies_of_one_article_keep_their_text(spark, sf_small):
+    def page(i, body):
+        return f"<body><script>var id={i}</script>{body}</body>"
+    article = "<article><h1>Title</h1><p>first <b>bold</b></p><ul><li>one</li></ul></article>"
+    links = "<ul><li><a>Home</a></li><li><a>News</a></li></ul>"
+    rows = [(i, "http://a.example/c", page(i, article)) for i in range(10)]
+    rows += [(20 + i, "http://b.example/c", page(i, "<div><p>same text</p></div>")) for i in range(10)]
+    rows += [(40 + i, "http://c.example/c", page(i, f"<article><p>story {i}</p><p>a passage</p>{links}</article>")) for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in T.extract(pages).collect()}
+    assert {got[i] for i in range(10)} == {"Title\nfirst bold\none"}
+    assert {got[i] for i in range(20, 30)} == {"same text"}
+    assert [got[40 + i] for i in range(10)] == [f"story {i}\na passage" for i in range(10)]
