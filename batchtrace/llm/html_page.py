@@ -159,7 +159,7 @@ def _in_article(every: list[Element]) -> dict[Element, bool]:
 
 def subtrees(page: str) -> set[int]:
     """Signed 64-bit hashes of the page's subtrees that may be template."""
-    return content(page)[1]
+    return set(content(page)[1])
 
 
 def _furniture(e: Element, in_article: bool, template: frozenset[int]) -> bool:
@@ -184,12 +184,12 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     return _text(root, every, template)
 
 
-def content(page: str) -> tuple[str, set[int]]:
-    """The main text with no template known, and the hashes of ``subtrees``, by one parse."""
+def content(page: str) -> tuple[str, dict[int, bool]]:
+    """The main text with no template known, and the hashes of the subtrees that may be template: whether each is a box."""
     root, every = parse(page)
     measure(every)
     inside = _in_article(every)
-    return _text(root, every, frozenset()), {_signed(e.digest) for e in every if _may_recur(e, inside[e])}
+    return _text(root, every, frozenset()), {_signed(e.digest): e.tag in BOXES for e in every if _may_recur(e, inside[e])}
 
 
 def _text(root: Element, every: list[Element], template: frozenset[int]) -> str:

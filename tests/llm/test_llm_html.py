@@ -77,3 +77,15 @@ def test_copies_of_one_article_keep_their_text(spark, sf_small):
     assert {got[i] for i in range(10)} == {"Title\nfirst bold\none"}
     assert {got[i] for i in range(20, 30)} == {"same text"}
     assert [got[40 + i] for i in range(10)] == [f"story {i}\na passage" for i in range(10)]
+
+
+@pytest.mark.parametrize("lookup", [T.LOOKUP, 0])
+def test_boxes_go_on_a_host_of_any_size(spark, sf_small, lookup):
+    box = "<div><p>Read our rules</p></div>"
+    rows = [(i, "http://a.example/x", f"<body><p>story {i}</p><p>same line</p>{box if i % 5 < 2 else ''}</body>") for i in range(100)]
+    rows += [(100 + i, "http://a.example/x", "<p>story 0</p><p>rare line</p>" + "<div>rare box</div>" * (i < 3)) for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in T.extract(pages, lookup=lookup).collect()}
+    assert [got[i] for i in range(100)] == [f"story {i}" for i in range(100)]
+    assert {got[100 + i] for i in range(3)} == {"story 0\nrare line\nrare box"}
+    assert {got[103 + i] for i in range(6)} == {"story 0\nrare line"}
