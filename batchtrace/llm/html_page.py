@@ -34,6 +34,8 @@ FURNITURE_NAMES = frozenset("""ad ads advert advertisement adverts banner breadc
     consent cookie cookies disclaimer footer gdpr header masthead menu modal nav navbar navigation newsletter notice
     pagination pager popup promo promoted promotion related replies reply share sharing sidebar social sponsor sponsored
     subscribe toolbar widget""".split())
+#: Articles (or a main part) with less than this share of the text around them are not the page's main text.
+SMALL_PART = 0.25
 # -------------------------------------------------------------------------------
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
@@ -174,7 +176,12 @@ def _furniture(e: Element, in_article: bool, template: frozenset[int]) -> bool:
         return True
     if e.tag == "header" or "header" in e.names:  # an article's own head holds its title
         return not (in_article and e.has_title)
-    return bool(e.names) and not FURNITURE_NAMES.isdisjoint(x.lower() for x in _NAME.findall(e.names))
+    return _named(e)
+
+
+def _named(e: Element) -> bool:
+    """Furniture by role or name."""
+    return e.role in FURNITURE_ROLES or bool(e.names) and not FURNITURE_NAMES.isdisjoint(x.lower() for x in _NAME.findall(e.names))
 
 
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
@@ -198,8 +205,7 @@ def _text(root: Element, every: list[Element], template: frozenset[int]) -> str:
     for e in every[1:]:
         skipped[e] = skipped[e.parent] or _furniture(e, article[e.parent], template)
     kept = [e for e in every[1:] if not skipped[e]]
-    main = max((e for e in kept if e.tag == "article" and not any_above(e, "article")), key=lambda e: e.size, default=None) \
-        or max((e for e in kept if e.tag == "main" or e.role == "main"), key=lambda e: e.size, default=None) or root
+    mains = _main_parts(root, kept)
     blocks, now = [], []
 
     def close() -> None:
@@ -208,7 +214,7 @@ def _text(root: Element, every: list[Element], template: frozenset[int]) -> str:
             blocks.append(text)
         now.clear()
 
-    walk: list[tuple[Element, int]] = [(main, 0)]
+    walk: list[tuple[Element, int]] = [(main, 0) for main in reversed(mains)]
     while walk:
         e, i = walk.pop()
         if i == len(e.parts):
@@ -233,6 +239,30 @@ def _text(root: Element, every: list[Element], template: frozenset[int]) -> str:
     return "\n".join(blocks)
 
 
+def _main_parts(root: Element, kept: list[Element]) -> list[Element]:
+    """Top-level articles in page order; the main part or the page if they hold a small part of its text."""
+    length = dict.fromkeys([root, *kept], 0)
+    for e in reversed(length):
+        length[e] += sum(len(part.strip()) for part in e.parts if isinstance(part, str))
+        if e is not root:
+            length[e.parent] += length[e]
+    articles = [e for e in kept if e.tag == "article" and not any_above(e, "article")]
+    # comments and teasers marked as such are read only where no other article is
+    articles = [e for e in articles if not _marked(e)] or articles
+    main = max((e for e in kept if e.tag == "main" or e.role == "main"), key=length.get, default=root)
+    enough = SMALL_PART * length[root]
+    return articles if articles and sum(length[e] for e in articles) >= enough else [main] if length[main] >= enough else [root]
+
+
+def _marked(e: Element) -> bool:
+    """Furniture by role or name, or inside such an element."""
+    while e and e.tag not in ("body", "html"):
+        if _named(e):
+            return True
+        e = e.parent
+    return False
+
+
 def any_above(e: Element, tag: str) -> bool:
     while e := e.parent:
         if e.tag == tag:

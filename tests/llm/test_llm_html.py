@@ -89,3 +89,13 @@ def test_boxes_go_on_a_host_of_any_size(spark, sf_small, lookup):
     assert [got[i] for i in range(100)] == [f"story {i}" for i in range(100)]
     assert {got[100 + i] for i in range(3)} == {"story 0\nrare line\nrare box"}
     assert {got[103 + i] for i in range(6)} == {"story 0\nrare line"}
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><p>part one</p></article><p>x</p><article><p>part two is longer</p></article>", "part one\npart two is longer"),
+    ("<main><p>the body of the page, told at length</p></main><article><p>teaser</p></article>", "the body of the page, told at length"),
+    ("<div><p>the body of the page, told at length</p></div><article><p>more</p></article>",
+     "the body of the page, told at length\nmore"),
+    ("<article><p>told at length</p></article><div class='related'><article><p>other</p></article></div>", "told at length")])
+def test_no_article_is_lost(page, text):
+    assert main_text(page) == text
