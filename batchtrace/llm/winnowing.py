@@ -6,7 +6,12 @@ without spaces, or up to 16 other characters between white space. Every run of
 the rightmost on ties, and the fingerprint is the selected hashes with their
 positions. Any run of ``k + w - 1`` tokens that two texts share gives them a
 common hash. A text of fewer than ``k`` tokens is one run; fewer than ``w`` runs
-are one window. Hashes are ordered by their upper 31 bits, so one long holds the
+are one window. Where words are too coarse, the letters are symbols too: of a text
+of one window, and of runs over 16 characters (a 16-character token and what
+follows it). They are winnowed by the same rule, without white space, and their
+hashes follow with the position of the token run; of equal neighbours the first is
+kept. So a short text has several hashes, and ``k + w - 1`` letters shared by two
+unspaced runs give a common hash at any offset. Hashes are ordered by their upper 31 bits, so one long holds the
 order and, counting down, the position.
 
 ``neighbour_likeness`` needs each document's successor by descending id. Rows go
@@ -47,28 +52,63 @@ def _ahead(values: str, n: int, combine: Callable[..., Column]) -> Column:
                        lambda i: combine(*[F.element_at(v, i + j) for j in range(n)]))
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W) -> DataFrame:
-    """``df`` plus ``out``: array of (hash, pos). Each step is a column of its own, so it is computed once."""
+def _position(key: Column) -> Column:
+    return (F.lit(_POSITIONS) - key.bitwiseAND(F.lit(_POSITIONS))).cast("int")
+
+
+def _winnowed(df: DataFrame, h: str, out: str, k: int, w: int) -> DataFrame:
+    """``df`` plus ``out_runs``, the hashes of all runs of the symbol hashes ``h``, and ``out_least``, the selected keys."""
     none = F.array().cast("array<bigint>")
-    kept = df.columns
-    h, g, m, s = (f"{out}_{x}" for x in ("tokens", "runs", "keys", "least"))
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-    df = _step(df, h, F.transform(tokens, lambda t: F.xxhash64(t)))
+    g, m, s = (f"{out}_{x}" for x in ("runs", "keys", "least"))
     df = _step(df, g, F.when(F.size(h) >= k, _ahead(h, k, F.xxhash64) if k > 1 else F.col(h))
                .when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(none))
     df = _step(df, m, F.transform(g, lambda x, i: F.shiftleft(F.shiftrightunsigned(x, 33), 32) + (F.lit(_POSITIONS) - i)))
     df = _step(df, s, F.array_distinct(
         F.when(F.size(m) > w, _ahead(m, w, F.least) if w > 1 else F.col(m))
         .when(F.size(m) > 0, F.array(F.array_min(m))).otherwise(none)))
-    position = lambda x: (F.lit(_POSITIONS) - x.bitwiseAND(F.lit(_POSITIONS))).cast("int")
-    return df.select(*[c for c in kept if c != out], F.transform(s, lambda x: F.struct(
-        F.element_at(F.col(g), position(x) + 1).alias("hash"), position(x).alias("pos"))).alias(out))
+    return df
+
+
+def one_window(n_tokens: Column, k: int, w: int) -> Column:
+    return (n_tokens > 0) & (n_tokens < k + w)
+
+
+def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W, letters: bool = False) -> DataFrame:
+    """``df`` plus ``out``: array of (hash, pos), and ``out_n``: the number of tokens.
+
+    Each step is a column of its own, so it is computed once. ``letters`` takes the letters of every text.
+    """
+    kept = [c for c in df.columns if c not in (out, f"{out}_n")]
+    t, h, n, c, ch = (f"{out}_{x}" for x in ("words", "tokens", "n", "letters", "letter_hashes"))
+    df = _step(df, t, F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)))
+    df = _step(df, h, F.transform(t, lambda x: F.xxhash64(x)))
+    df = _step(df, n, F.size(h))
+    df = _winnowed(df, h, out, k, w)
+    full = lambda x: F.coalesce((F.octet_length(x) >= 16) & (F.length(x) == 16), F.lit(False))
+    every = F.lit(True) if letters else one_window(F.col(n), k, w)
+    none = F.array().cast("array<struct<hash:bigint,token:int>>")
+    cut = lambda x, i: F.transform(F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)),
+                                   lambda y: F.struct(F.xxhash64(y).alias("hash"), i.alias("token")))
+    long = lambda x, i: (full(x) & (i < F.col(n) - 1)) | full(F.get(F.col(t), i - 1))
+    df = _step(df, c, F.when(every | F.exists(t, full), F.flatten(F.transform(
+        t, lambda x, i: F.when(every | long(x, i), cut(x, i)).otherwise(none)))).otherwise(none))
+    df = _step(df, ch, F.col(f"{c}.hash"))
+    df = _step(df, f"{c}_token", F.col(f"{c}.token"))
+    df = _winnowed(df, ch, ch, k, w)
+    g, cg, cs = F.col(f"{out}_runs"), F.col(f"{ch}_runs"), f"{ch}_picked"
+    hash_of = lambda runs, key: F.element_at(runs, _position(key) + 1)
+    token_of = lambda key: F.element_at(F.col(f"{c}_token"), _position(key) + 1)
+    df = _step(df, cs, F.filter(f"{ch}_least", lambda x, i: (i == 0) | (
+        hash_of(cg, x) != hash_of(cg, F.get(F.col(f"{ch}_least"), i - 1)))))
+    words = F.transform(f"{out}_least", lambda x: F.struct(hash_of(g, x).alias("hash"), _position(x).alias("pos")))
+    pieces = F.transform(cs, lambda x: F.struct(hash_of(cg, x).alias("hash"), F.least(token_of(x), F.size(g) - 1).alias("pos")))
+    return df.select(*kept, F.concat(words, pieces).alias(out), n)
 
 
 def fingerprints(docs: DataFrame, k: int = K, w: int = W, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fingerprint`` (array of hash and position) of every whole text."""
     kept = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return with_fingerprint(kept, "text", "fingerprint", k, w).drop("text")
+    return with_fingerprint(kept, "text", "fingerprint", k, w).select("doc_id", "fingerprint")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -133,12 +173,19 @@ def neighbour_likeness(docs: DataFrame, k: int = K, w: int = W, id_col: str = "d
     rows = rows.withColumn("wrap_text", F.when(F.col("last"), F.col("next_text")).otherwise(F.lit("")))
     for text, out in (("text", "own"), ("edited", "other"), ("wrap_text", "wrap")):
         rows = with_fingerprint(rows, text, out, k, w)
+    # if only one of text and edited text is short, both are compared by their letters too
+    short, cut_short = (one_window(F.col(n), k, w) for n in ("own_n", "other_n"))
+    rows = rows.withColumn("lone", F.when(short & ~cut_short, F.col("edited")).when(cut_short & ~short, F.col("text")).otherwise(F.lit("")))
+    rows = with_fingerprint(rows, "lone", "full", k, w, letters=True)
+    near = likeness(F.when(cut_short & ~short, F.col("full.hash")).otherwise(F.col("own.hash")),
+                    F.when(short & ~cut_short, F.col("full.hash")).otherwise(F.col("other.hash")))
     flat = rows.select("bucket", "doc_id", "text_hash", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                       "own", F.col("own.hash").alias("own_hash"), "other", F.col("wrap.hash").alias("wrap_hash"), "last")
+                       "own", F.col("own.hash").alias("own_hash"), "other", F.col("wrap.hash").alias("wrap_hash"), "last",
+                       near.alias("near_edited"))
     seen = flat.withColumn("next_hash", F.when(F.col("last"), F.col("wrap_hash")).otherwise(F.lead("own_hash").over(inside)))
     digest = lambda c: F.sha2(F.col(c).cast("string"), 256)
     return seen.select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
         digest("own").alias("fingerprint"), digest("other").alias("edited_fingerprint"),
-        likeness(F.col("own_hash"), F.col("other.hash")).alias("near_edited"),
+        "near_edited",
         likeness(F.col("own_hash"), F.col("next_hash")).alias("near_next"))

@@ -93,3 +93,20 @@ def test_odd_and_empty_tables(spark, odd, empty):
 def test_native_plan(odd):
     plan = N.neighbour_likeness(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_each_short_or_unspaced_text_is_near_its_edited_text(spark):
+    solid = hashlib.sha256(b"x").hexdigest() * 2
+    texts = ["walking rivers", "Einzelwort", "one stone underneath", "five words are here now", "seven short words are in this text",
+             "eight short words are in this text 8", "tree " + solid, "漢字かな交じり文とテスト文", "ཀཁགངཅཆཇཉཏཐདན" * 4]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.near_edited for r in N.neighbour_likeness(docs).collect()}
+    assert all(0 < got[i] < 1 for i in range(len(texts))), sorted(got.items())
+
+
+def test_unspaced_passage_matches_at_any_offset(spark):
+    solid = hashlib.sha256(b"x").hexdigest()
+    tail = " ".join(f"w{i}" for i in range(9))
+    docs = spark.createDataFrame([(i, f"{'z' * i}{solid} {tail}{i}") for i in range(17)], "doc_id long, text string")
+    prints = {r.doc_id: {p.hash for p in r.fingerprint if p.pos < 3} for r in N.fingerprints(docs).collect()}
+    assert all(len(prints[0] & prints[i]) > 10 for i in range(17))
