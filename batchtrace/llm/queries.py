@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchtrace.llm import decontamination, html_templates, interpolation_lm, language_id, mixing, quality, simhash, winnowing
+from batchtrace.llm import (decontamination, html_templates, interpolation_lm, language_id, mask_search, mixing, quality,
+                            residue_mining, simhash, url_rules, winnowing)
 from batchtrace.llm.common import fresh, table
 from batchtrace.llm.token_counts import count_tokens
 from batchtrace.llm.token_store import read_tokens, write_tokens
@@ -73,6 +74,23 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.neighbour_likeness(table(spark, sf_dir, "documents"), k=4, w=4)
 
 
+def op11_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return residue_mining.mine(residue_mining.prepare(table(spark, sf_dir, "embeddings"), scale=256, label=moved))
+
+
+#: Place rules: what is under them gets their verdict.
+PLACES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), PLACES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_language": op2_language,
@@ -84,11 +102,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_output": op8_token_output,
     "op9_html_text": op9_html_text,
     "op10_winnowing": op10_winnowing,
+    "op11_mask_search": op11_mask_search,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_url_rules": op13_url_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": mixing.ORACLE_SQL,
     "op4_decontamination": decontamination.ORACLE_SQL,
+    "op11_mask_search": mask_search.ORACLE_SQL,
+    "op12_hard_negatives": residue_mining.ORACLE_SQL,
+    "op13_url_rules": url_rules.oracle_sql(PLACES),
 }
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
