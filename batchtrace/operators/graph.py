@@ -12,6 +12,9 @@ and ``dst`` ids:
 ``event_day`` is the date of ``time`` (null if it has none). In memory and stored,
 the edge tables have the same columns (``schemas.PROCESSED_EDGES`` and so on).
 
+A stored graph (``plans.graph_store``) keeps all edges of a batch in the batch's home
+part; ``Edges.of_day`` then reads only the parts that hold batches of the day.
+
 Upserts are aggregations keyed by (src, dst): an edge keeps the properties of
 its latest event (by time, then event id), so loads are deterministic and
 idempotent. Rows with a null key are skipped (a graph key cannot be null).
@@ -47,20 +50,25 @@ class Edges:
                 "requires": self.requires, "delivers": self.delivers,
                 "destined_for": self.destined_for}
 
+    def of_day(self, day: Period) -> Edges:
+        """Edges that hold all those of every batch processed on the day; here, all edges."""
+        return self
+
 
 def _keyed(df: DataFrame, src: str, dst: str) -> DataFrame:
     return df.filter(F.col(src).isNotNull() & F.col(dst).isNotNull())
 
 
-def _latest(df: DataFrame, props: tuple[str, ...]) -> DataFrame:
-    """One row per (src, dst): the properties of the latest event.
+def latest(df: DataFrame, props: tuple[str, ...], *also: str) -> DataFrame:
+    """One row per (src, dst): the properties of the latest event. ``also`` names
+    columns that are the same for all rows of an edge.
 
     ``max_by`` is an aggregate, so it combines per map task before the
     shuffle; a hot (src, dst) pair costs one row per task, not all its rows.
     """
     version = F.struct(F.col("time"), F.col("event_id"))
     pick = F.max_by(F.struct(*props), version)
-    kept = df.groupBy("src", "dst").agg(pick.alias("_p")).select("src", "dst", "_p.*")
+    kept = df.groupBy("src", "dst", *also).agg(pick.alias("_p")).select("src", "dst", "_p.*", *also)
     return kept.withColumn("event_day", event_date(F.col("time")))
 
 
@@ -104,12 +112,12 @@ def delivers_events(d: DataFrame) -> DataFrame:
 def build_edges(k: DataFrame, d: DataFrame) -> Edges:
     ing = ingredient_rows(k)
     return Edges(
-        processed=_latest(processed_events(k), PROCESSED_PROPS),
+        processed=latest(processed_events(k), PROCESSED_PROPS),
         uses_recipe=_keyed(k.select(F.col("batch_id").alias("src"), F.col("recipe_id").alias("dst")),
                            "src", "dst").distinct(),
         requires=_keyed(ing.select(F.col("recipe_id").alias("src"), F.col("item").alias("dst")),
                         "src", "dst").distinct(),
-        delivers=_latest(delivers_events(d), DELIVERS_PROPS),
+        delivers=latest(delivers_events(d), DELIVERS_PROPS),
         destined_for=_keyed(d.select(F.col("batch_id").alias("src"), F.col("canteen_id").alias("dst")),
                             "src", "dst").distinct(),
     )
@@ -124,10 +132,10 @@ def upsert_edges(existing: Edges, new: Edges) -> Edges:
     """Merge a new load into stored edges: union, then the same per-key
     reduction as a fresh load, so reloading the same events changes nothing."""
     return Edges(
-        processed=_latest(existing.processed.unionByName(new.processed), PROCESSED_PROPS),
+        processed=latest(existing.processed.unionByName(new.processed), PROCESSED_PROPS),
         uses_recipe=existing.uses_recipe.unionByName(new.uses_recipe).distinct(),
         requires=existing.requires.unionByName(new.requires).distinct(),
-        delivers=_latest(existing.delivers.unionByName(new.delivers), DELIVERS_PROPS),
+        delivers=latest(existing.delivers.unionByName(new.delivers), DELIVERS_PROPS),
         destined_for=existing.destined_for.unionByName(new.destined_for).distinct(),
     )
 
@@ -149,6 +157,7 @@ def ingredient_recall(edges: Edges, ingredient: str, day: Period | str) -> DataF
     processed on the day, with their destination canteens (distinct, by
     canteen)."""
     item = require_id(ingredient, "ingredient")
+    edges = edges.of_day(_day(day))
     day_batches = (_on_day(edges.processed, day)
                    .select(F.col("dst").alias("batch_id")).distinct())
     recipes = (edges.requires.filter(F.col("dst") == item)
@@ -169,6 +178,7 @@ def contamination_risk(edges: Edges, station: str, day: Period | str) -> DataFra
     processed it strictly later (sorted, joined by ", ", or "None"), crossed
     with the drivers delivering it and its destination canteens."""
     s = require_id(station, "station")
+    edges = edges.of_day(_day(day))
     p1 = (_on_day(edges.processed.filter(F.col("src") == s), day)
           .select(F.col("src").alias("risk_station"), F.col("dst").alias("shared_batch"),
                   F.col("time").alias("_t1")))

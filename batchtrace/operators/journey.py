@@ -17,11 +17,38 @@ def _label(prefix: str, col: str) -> Column:
     return F.concat(F.lit(prefix), F.coalesce(F.col(col), F.lit("None")))
 
 
-def batch_journey(k: DataFrame, d: DataFrame, batch_id: str) -> DataFrame:
+def batch_dates(k: DataFrame, d: DataFrame) -> DataFrame:
+    """The key -> dates index: the dates on which a batch has kitchen or dispatch
+    rows, and how many; undated rows have a null date. Counted before the shuffle,
+    so a hot batch ships one row a date and task."""
+    parts = [df.filter(F.col("batch_id").isNotNull()).select(
+        "batch_id", "event_date", F.lit(int(i == 0)).alias("in_k"), F.lit(int(i == 1)).alias("in_d")) for i, df in enumerate((k, d))]
+    return parts[0].unionAll(parts[1]).groupBy("batch_id", "event_date").agg(
+        F.sum("in_k").alias("kitchen_rows"), F.sum("in_d").alias("dispatch_rows"))
+
+
+def _on_dates(df: DataFrame, dates: list) -> DataFrame:
+    """Rows of the given dates (None: undated); prunes a table stored by date to their directories."""
+    known = sorted(x for x in dates if x is not None)
+    on = F.col("event_date").isin(known) if known else F.lit(False)
+    return df.filter(on | F.col("event_date").isNull() if None in dates else on)
+
+
+def narrowed(k: DataFrame, d: DataFrame, batch_id: str, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables cut to the dates that hold the batch, looked up in the index (one row a date)."""
+    held = index.filter(F.col("batch_id") == require_id(batch_id, "batch id")).collect()
+    return (_on_dates(k, [r["event_date"] for r in held if r["kitchen_rows"]]),
+            _on_dates(d, [r["event_date"] for r in held if r["dispatch_rows"]]))
+
+
+def batch_journey(k: DataFrame, d: DataFrame, batch_id: str, index: DataFrame | None = None) -> DataFrame:
     """All kitchen and dispatch rows of one batch, tagged and in time order
     (kitchen before dispatch on equal times). The equality on ``batch_id``
-    reaches the Parquet scan as a pushed filter."""
+    reaches the Parquet scan as a pushed filter; with a ``batch_dates`` index
+    only the dates that hold the batch are opened."""
     b = require_id(batch_id, "batch id")
+    if index is not None:
+        k, d = narrowed(k, d, b, index)
     kitchen = (k.filter(F.col("batch_id") == b)
                .select("batch_id", "event_id", "event_timestamp", "action", "station_id",
                        F.lit(C.SOURCE_KITCHEN).alias("source"),
@@ -35,6 +62,16 @@ def batch_journey(k: DataFrame, d: DataFrame, batch_id: str) -> DataFrame:
             .orderBy(F.col("event_timestamp").asc_nulls_first(), F.col("source").desc(), "event_id"))
 
 
+def indexed_batch_exists(index: DataFrame, batch_id: str) -> DataFrame:
+    """The answer of ``batch_exists`` from the ``batch_dates`` index alone."""
+    b = require_id(batch_id, "batch id")
+    seen = index.filter(F.col("batch_id") == b).agg(
+        F.coalesce(F.sum("kitchen_rows") > 0, F.lit(False)).alias("in_kitchen"),
+        F.coalesce(F.sum("dispatch_rows") > 0, F.lit(False)).alias("in_dispatch"))
+    return seen.select(F.lit(b).alias("batch_id"), "in_kitchen", "in_dispatch",
+                       (F.col("in_kitchen") | F.col("in_dispatch")).alias("found"))
+
+
 def batch_exists(k: DataFrame, d: DataFrame, batch_id: str) -> DataFrame:
     """One row: whether the batch has kitchen rows, dispatch rows, and any.
 

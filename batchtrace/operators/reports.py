@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from batchtrace import config as C
 from batchtrace.functions.period import Period, as_period, first_rows
 
+# Columns of the listings, in order.
 KITCHEN_LISTING_COLUMNS = (
     "event_timestamp", "batch_id", "recipe_id", "station_id", "action",
     "temperature_celsius", "weight_kg", "temperature_status", "weight_status", "sensor_status",
@@ -52,6 +53,28 @@ def dispatch_listing(d: DataFrame, period: Period | str, limit: int | None = Non
     return first_rows(out, limit)
 
 
+def station_counts() -> list[Column]:
+    """A weight status of UNKNOWN counts as a weight warning."""
+    return [_count_if(F.col("action").isin(*C.KITCHEN_ACTIONS)).alias("total_times_active"),
+            _count_if(F.col("temperature_status") != C.OK).alias("total_temp_warnings"),
+            _count_if(F.col("weight_status") != C.OK).alias("total_weight_warnings"),
+            _count_if(F.col("sensor_status") != C.OK).alias("total_sensor_warnings")]
+
+
+def recipe_counts() -> list[Column]:
+    return [_count_if(F.col("action") == C.COOKING).alias("total_times_cooked")]
+
+
+def driver_counts() -> list[Column]:
+    return [_count_if(F.col("action") == C.DELIVERED).alias("total_deliveries"),
+            _count_if(F.col("temperature_status") != C.OK).alias("total_truck_temp_warnings"),
+            _count_if(F.col("sensor_status") != C.OK).alias("total_sensor_warnings")]
+
+
+def canteen_counts() -> list[Column]:
+    return [_count_if(F.col("action") == C.DELIVERED).alias("total_deliveries")]
+
+
 def station_report(k: DataFrame, period: Period | str, limit: int | None = None) -> DataFrame:
     """Per station: active steps, temperature / weight / sensor warnings.
 
@@ -59,10 +82,7 @@ def station_report(k: DataFrame, period: Period | str, limit: int | None = None)
     """
     out = (_in_period(k, period)
             .groupBy("station_id")
-            .agg(_count_if(F.col("action").isin(*C.KITCHEN_ACTIONS)).alias("total_times_active"),
-                 _count_if(F.col("temperature_status") != C.OK).alias("total_temp_warnings"),
-                 _count_if(F.col("weight_status") != C.OK).alias("total_weight_warnings"),
-                 _count_if(F.col("sensor_status") != C.OK).alias("total_sensor_warnings"))
+            .agg(*station_counts())
             .orderBy("station_id"))
     return first_rows(out, limit)
 
@@ -71,7 +91,7 @@ def recipe_report(k: DataFrame, period: Period | str, limit: int | None = None)
     """Per recipe: COOKING steps (recipes with none keep a zero row)."""
     out = (_in_period(k, period)
             .groupBy("recipe_id")
-            .agg(_count_if(F.col("action") == C.COOKING).alias("total_times_cooked"))
+            .agg(*recipe_counts())
             .orderBy("recipe_id"))
     return first_rows(out, limit)
 
@@ -103,9 +123,7 @@ def driver_report(d: DataFrame, period: Period | str, limit: int | None = None)
     """Per driver: deliveries, warm-truck warnings, sensor warnings."""
     out = (_in_period(d, period)
             .groupBy("driver_id")
-            .agg(_count_if(F.col("action") == C.DELIVERED).alias("total_deliveries"),
-                 _count_if(F.col("temperature_status") != C.OK).alias("total_truck_temp_warnings"),
-                 _count_if(F.col("sensor_status") != C.OK).alias("total_sensor_warnings"))
+            .agg(*driver_counts())
             .orderBy("driver_id"))
     return first_rows(out, limit)
 
@@ -114,7 +132,7 @@ def canteen_report(d: DataFrame, period: Period | str, limit: int | None = None)
     """Per canteen: deliveries."""
     out = (_in_period(d, period)
             .groupBy("canteen_id")
-            .agg(_count_if(F.col("action") == C.DELIVERED).alias("total_deliveries"))
+            .agg(*canteen_counts())
             .orderBy("canteen_id"))
     return first_rows(out, limit)
 

@@ -7,6 +7,7 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     DoubleType,
+    LongType,
     MapType,
     StringType,
     StructField,
@@ -15,6 +16,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# The fields of the wire format, in order.
 INGREDIENT = StructType([
     StructField("item", StringType()),
     StructField("amount_kg", DoubleType()),
@@ -116,6 +118,14 @@ DLQ_CLASSIFIED = StructType(
     ]
 )
 
+# Key -> dates index of the curated tables.
+BATCH_DATES = StructType([
+    StructField("batch_id", StringType()),
+    StructField("event_date", DateType()),
+    StructField("kitchen_rows", LongType()),
+    StructField("dispatch_rows", LongType()),
+])
+
 # Stored graph tables: edges with properties carry the day of their time.
 PROCESSED_EDGES = StructType([
     StructField("src", StringType()),

@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -90,6 +92,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/batchtrace-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def at_once(jobs: Iterable[Callable[[], object]], most: int = 8) -> list:
+    """Run independent driver-side steps (each its own Spark jobs) side by side, so
+    that small ones do not wait for each other; results in order, or the first failure."""
+    with ThreadPoolExecutor(most) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def local_path(uri: str) -> str | None:
     """The local file path of a ``file:`` URI or plain path, else None."""
     if uri.startswith("file:"):

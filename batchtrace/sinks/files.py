@@ -1,4 +1,4 @@
-"""File sinks: curated tables, CSV reports, document snapshots, graph tables.
+"""File sinks: curated tables, CSV reports, document snapshots.
 
 All writes are distributed (executors write their own files); nothing is
 collected to the driver.
@@ -66,18 +66,3 @@ def read_document_snapshot(spark: SparkSession, path: str, schema: StructType, f
     """The current documents; none before the first snapshot."""
     folder = VersionedFolder(spark, path).current()
     return spark.read.schema(schema).format(fmt).load(folder) if folder else spark.createDataFrame([], schema)
-
-
-def write_graph_version(nodes: DataFrame, edges: dict[str, DataFrame], folder: str) -> None:
-    """Node table partitioned by label, one table per relationship type (S10).
-
-    Edges with properties are partitioned by the day of their time; every edge
-    table is laid out for lookups by batch, its end that queries start from.
-    """
-    write_lookup_table(nodes, f"{folder}/nodes", "id", ("label",), mode="errorifexists")
-    for rel, df in edges.items():
-        days = ("event_day",) if "event_day" in df.columns else ()
-        key = "dst" if days or rel == "requires" else "src"
-        write_lookup_table(df, f"{folder}/edges/{rel}", key, days, mode="errorifexists")
-
-

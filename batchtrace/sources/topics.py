@@ -90,11 +90,15 @@ class RoutedFiles:
     path: str
     max_files_per_trigger: int | None = None
 
-    def stream(self, spark: SparkSession, route: str) -> DataFrame:
+    def stream_routes(self, spark: SparkSession) -> DataFrame:
+        """All routes as one stream, with their ``route`` column."""
         r = spark.readStream.schema(schemas.ROUTED)
         if self.max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", self.max_files_per_trigger)
-        return r.parquet(self.path).filter(F.col("route") == route)
+        return r.parquet(self.path)
+
+    def stream(self, spark: SparkSession, route: str) -> DataFrame:
+        return self.stream_routes(spark).filter(F.col("route") == route)
 
     def batch(self, spark: SparkSession, route: str) -> DataFrame:
         return spark.read.schema(schemas.ROUTED).parquet(self.path).filter(F.col("route") == route)
@@ -113,6 +117,12 @@ class RoutedKafka:
                 C.ROUTE_CLEAN_DISPATCH: self.topics.clean_dispatch,
                 C.ROUTE_DLQ: self.topics.dlq}[route]
 
+    def stream_routes(self, spark: SparkSession) -> DataFrame:
+        """All routes as one stream; the topic says which."""
+        of_topic = {self._topic(r): r for r in (C.ROUTE_CLEAN_KITCHEN, C.ROUTE_CLEAN_DISPATCH, C.ROUTE_DLQ)}
+        pairs = [F.lit(x) for pair in of_topic.items() for x in pair]
+        return self.kafka.stream(spark, list(of_topic)).withColumn("route", F.element_at(F.create_map(*pairs), F.col("topic")))
+
     def stream(self, spark: SparkSession, route: str) -> DataFrame:
         return self.kafka.stream(spark, [self._topic(route)])
 

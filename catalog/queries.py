@@ -18,6 +18,7 @@ from batchtrace.operators import dlq as Q
 from batchtrace.operators import reports as R
 from batchtrace.operators.ingest import message_key, route
 from catalog import oracle as O
+from batchtrace.plans import rollups as P
 from batchtrace.plans.curated import Curated
 from catalog.fixture import load_raw_messages
 from catalog.stores import curated_for, warehouse_for
@@ -222,6 +223,14 @@ for _suffix, _period, _cond in (("day", DAY, O.in_day()), ("month", MONTH, O.in_
         register(f"{_name}_{_suffix}", _sqls[_name])(_fn)
 
 
+# Monthly reports from the stored per-day partials.
+for _name, _report in (("station_report", P.station_report), ("recipe_report", P.recipe_report), ("driver_report", P.driver_report),
+                       ("canteen_report", P.canteen_report), ("ingredient_usage", P.ingredient_usage),
+                       ("batch_count", P.batch_count), ("row_counts", P.row_counts)):
+    register(f"{_name}_month_from_days", SQL[f"{_name}_month"])(
+        lambda spark, sf, report=_report: report(warehouse_for(spark, sf).rollups(spark), MONTH))
+
+
 # --- dead letters -----------------------------------------------------------
 
 _DLQ_COLS = ", ".join(Q.DLQ_REPORT_COLUMNS)

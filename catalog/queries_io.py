@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from batchtrace import schemas
 from batchtrace.operators import reports as R
+from batchtrace.plans import rollups as P
 from batchtrace.plans.report_job import display_reports
 from batchtrace.session import scratch_path
 from batchtrace.sinks.files import (compact_table, read_csv_report, read_document_snapshot, write_csv_report,
                                     write_document_snapshot)
 from batchtrace.sources.topics import FileTopics, RoutedFiles, publish_files
+from batchtrace.streaming.loads import LoadStore, start_loads
 from batchtrace.streaming.pipeline import PipelinePaths, run_until_idle, start_pipeline, start_router
 from catalog import oracle as O
 from catalog.fixture import load_raw_messages
@@ -81,6 +83,39 @@ def q_stream_dlq(spark, sf_dir):
             .select(*_DLQ_COLUMNS))
 
 
+def _loaded(spark, sf_dir) -> LoadStore:
+    """All tables by the one-query ingest of the stored routed messages, in several loads, then compacted."""
+    root = scratch_path(spark, "loads")
+    store = LoadStore(spark, f"{root}/tables")
+    routed = RoutedFiles(warehouse_for(spark, sf_dir).routed, max_files_per_trigger=2)
+    run_until_idle([start_loads(spark, routed, store, f"{root}/_checkpoints/loads",
+                                trigger=_AVAILABLE_NOW)])
+    store.compact()
+    return store
+
+
+@register("loads_curated", O.with_ctes(
+    "SELECT 'kitchen' AS part, event_id, batch_id, event_timestamp, sensor_status, temperature_status, event_date FROM kitchen "
+    "UNION ALL SELECT 'dispatch', event_id, batch_id, event_timestamp, sensor_status, temperature_status, event_date FROM dispatch "
+    "UNION ALL SELECT 'dlq', event_id, batch_id, payload_timestamp, NULL, error_reason, event_date FROM dlq"))
+def q_loads_curated(spark, sf_dir):
+    """The three tables that one stream's loads feed together, after compaction (T1, S5, S6)."""
+    store = _loaded(spark, sf_dir)
+    columns = ["event_id", "batch_id", "event_timestamp", "sensor_status", "temperature_status", "event_date"]
+    dlq = store.read("dlq").select("event_id", "batch_id", F.col("payload_timestamp").alias("event_timestamp"),
+                                   F.lit(None).cast("string").alias("sensor_status"),
+                                   F.col("error_reason").alias("temperature_status"), "event_date")
+    out = store.read("kitchen").select(F.lit("kitchen").alias("part"), *columns)
+    return out.unionByName(store.read("dispatch").select(F.lit("dispatch").alias("part"), *columns)) \
+        .unionByName(dlq.select(F.lit("dlq").alias("part"), *columns))
+
+
+@register("loads_station_report_month", SQL["station_report_month"])
+def q_loads_station_report_month(spark, sf_dir):
+    """The monthly report from the partials that the loads kept."""
+    return P.station_report(_loaded(spark, sf_dir).rollups(), MONTH)
+
+
 @register("dlq_messages", O.with_ctes(
     "SELECT \"key\" AS message_key, \"value\" AS error_payload, \"timestamp\" FROM routed WHERE route = 'dlq'"))
 def q_dlq_messages(spark, sf_dir):

@@ -10,7 +10,7 @@ from catalog import oracle as O
 from batchtrace.plans.warehouse import Warehouse, merge_graph
 from batchtrace.session import scratch_path
 from catalog.queries import BATCH, DAY, INGREDIENT, SQL, STATION, _c, register
-from catalog.stores import graph_for
+from catalog.stores import HOME_DAYS, graph_for, warehouse_for
 
 # --- journey and league table -------------------------------------------------
 
@@ -28,8 +28,9 @@ FROM dispatch WHERE batch_id = '{BATCH}'""")
 
 @register("batch_journey", _JOURNEY_SQL)
 def q_batch_journey(spark, sf_dir):
-    c = _c(spark, sf_dir)
-    return J.batch_journey(c.kitchen, c.dispatch, BATCH)
+    wh = warehouse_for(spark, sf_dir)
+    c = wh.curated(spark)
+    return J.batch_journey(c.kitchen, c.dispatch, BATCH, wh.batch_index(spark))
 
 
 @register("batch_exists", O.with_ctes(f"""
@@ -37,8 +38,7 @@ SELECT '{BATCH}' AS batch_id, k > 0 AS in_kitchen, d > 0 AS in_dispatch, (k + d)
 FROM (SELECT (SELECT count(*) FROM kitchen WHERE batch_id = '{BATCH}') AS k,
              (SELECT count(*) FROM dispatch WHERE batch_id = '{BATCH}') AS d)"""))
 def q_batch_exists(spark, sf_dir):
-    c = _c(spark, sf_dir)
-    return J.batch_exists(c.kitchen, c.dispatch, BATCH)
+    return J.indexed_batch_exists(warehouse_for(spark, sf_dir).batch_index(spark), BATCH)
 
 
 _SPANS_CTE = """
@@ -157,7 +157,7 @@ def _merged_graph(spark, sf_dir):
     the rest, and the first half again (which must change nothing)."""
     c = _c(spark, sf_dir)
     early = F.coalesce(F.col("event_date") < F.lit(_SPLIT_DAY).cast("date"), F.lit(False))
-    wh = Warehouse(scratch_path(spark, "graph-merge"))
+    wh = Warehouse(scratch_path(spark, "graph-merge"), HOME_DAYS)
     for part in (early, ~early, early):
         merge_graph(spark, wh, c.kitchen.filter(part), c.dispatch.filter(part))
     return wh

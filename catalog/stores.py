@@ -18,6 +18,8 @@ from batchtrace.plans.warehouse import Warehouse, build, build_graph
 from batchtrace.session import app_id, scratch_path
 from catalog.fixture import load_raw_messages
 
+#: Days of a graph part: a week of these small tables.
+HOME_DAYS = 7
 _BUILT: dict[tuple, Warehouse] = {}
 _GRAPHS: set[str] = set()
 _LOCKS: defaultdict[object, threading.Lock] = defaultdict(threading.Lock)
@@ -37,7 +39,8 @@ def warehouse_for(spark: SparkSession, sf_dir: str, thresholds: C.Thresholds = C
     key = (app_id(spark), sf_dir.rstrip("/"), _state(spark, f"{sf_dir.rstrip('/')}/events.parquet"), thresholds, topics)
     with _LOCKS[key]:
         if key not in _BUILT:
-            _BUILT[key] = build(spark, load_raw_messages(spark, sf_dir), scratch_path(spark, "warehouse"), thresholds, topics)
+            root = scratch_path(spark, "warehouse")
+            _BUILT[key] = build(spark, load_raw_messages(spark, sf_dir), root, thresholds, topics, HOME_DAYS)
         return _BUILT[key]
 
 

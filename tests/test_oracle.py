@@ -86,10 +86,10 @@ def test_the_fixture_can_fail(spark, sf_small):
 def test_a_rewritten_table_is_built_anew(spark, sf_small, tmp_path):
     import shutil
     from catalog.stores import warehouse_for
-    shutil.copy(f"{sf_small}/events.parquet", tmp_path / "events.parquet")
+    shutil.copyfile(f"{sf_small}/events.parquet", tmp_path / "events.parquet")
     first = warehouse_for(spark, str(tmp_path))
     assert warehouse_for(spark, str(tmp_path)) is first
     spark.read.parquet(f"{sf_small}/events.parquet").limit(60).coalesce(1).write.parquet(str(tmp_path / "new"))
-    shutil.copy(next((tmp_path / "new").glob("part-*.parquet")), tmp_path / "events.parquet")
+    shutil.copyfile(next((tmp_path / "new").glob("part-*.parquet")), tmp_path / "events.parquet")
     again = warehouse_for(spark, str(tmp_path))
     assert again is not first and again.routed_frame(spark).count() <= 60
