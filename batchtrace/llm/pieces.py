@@ -8,7 +8,9 @@ of the file inside a text are pieces of their own, found before normalisation.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
+from functools import lru_cache
 
 import regex
 
@@ -29,9 +31,15 @@ class PieceSplitter:
             raise ValueError("not a plain byte alphabet")
         self.pattern = split["pattern"]["Regex"]
         self.find = regex.compile(self.pattern.replace(r"[^\s", f"[^{WHITE}")).findall
+        # the same pattern for texts below U+0100, its classes spelled out for the faster module
+        low = [chr(c) for c in range(256)]
+        letters, digits = ("".join(re.escape(c) for c in low if unicodedata.category(c)[0] == kind) for kind in "LN")
+        simple = self.pattern.replace(r"\s", WHITE).replace(r"\p{L}", letters).replace(r"\p{N}", digits)
+        self.find_simple = re.compile(simple).findall
         self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
         names = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.cut = regex.compile(f"({'|'.join(names)})").split if names else lambda text: [text]
+        self.differing = differing_marks()
 
     def pieces(self, text: str) -> list[str]:
         """Pieces in order; a special string is one piece, as written."""
@@ -58,7 +66,8 @@ class PieceSplitter:
         try:
             text.encode("latin-1")  # all its letters are known and composed
         except UnicodeEncodeError:
-            if any(unicodedata.category(c) == "Cn" for c in set(text)):
+            letters = set(text)
+            if not self.differing.isdisjoint(letters) or any(unicodedata.category(c) == "Cn" for c in letters):
                 return self._by_library(text)
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.find(text.lower())
@@ -71,6 +80,16 @@ class PieceSplitter:
         return [piece for piece, _ in split.pre_tokenize_str(normalizers.Sequence(steps).normalize_str(text))]
 
 
+@lru_cache(maxsize=1)
+def differing_marks() -> frozenset[str]:
+    """Combining marks that the library's tables order otherwise than the tables
+    here: before or after the mark U+0334, which goes before nearly all others."""
+    from tokenizers import normalizers
+    nfc, marks = normalizers.NFC(), [c for c in map(chr, range(0x300, 0x20000)) if unicodedata.combining(c)]
+    return frozenset(c for c in marks if any(nfc.normalize_str(t) != unicodedata.normalize("NFC", t)
+                                             for t in (f"b{c}\u0334", f"b\u0334{c}", f"b{c}\u0301\u0334", f"b\u0301{c}")))
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: itself if printable, else 256 and up."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

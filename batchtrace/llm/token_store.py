@@ -13,13 +13,16 @@ are named by a random part, so a second attempt of a task never touches the
 first one's; only files named in the manifest, a Parquet table committed by
 Spark, count. ``read_tokens`` gets global starts from the manifest's sums.
 
-Ids are the tokenizers library's. A word's ids do not depend on its neighbours,
-so a worker has each distinct word encoded by the library's model and looks it
-up after that (a bounded cache keeps the words that come again); tests compare
-with the library on whole texts.
-
-Results: documents ascend by id, null ids first, rows of one id by text. Null
-and empty texts hold the end id alone. An empty table writes no shard.
+Ids are the tokenizers library's. A piece's ids do not depend on its neighbours, so
+a worker takes texts slice by slice: Arrow splits a slice into words and numbers the
+different ones, these are split into pieces in one go, the library's model encodes
+pieces that are new to the worker (a bounded table keeps the others), and the ids of
+all texts are gathered by number. Tests compare with the library on whole texts.
+
+Results: documents ascend by id, null ids first, rows of one id by the first 32
+characters of their text, then by its hash; or they follow the order columns given.
+The range keys tell rows apart, so no id, however many rows it has, is one task's
+work. Null and empty texts hold the end id alone. An empty table writes no shard.
 """
 
 from __future__ import annotations
@@ -28,12 +31,13 @@ import json
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from batchtrace.llm.common import chunks
@@ -44,8 +48,8 @@ MAGIC = b"TIDS1"
 _HEAD = "<5sBQQQ"
 #: Ids of one shard at most, but for a longer single document.
 SHARD_IDS = 4_000_000
-#: Words, and word pieces, that a worker remembers.
-CACHE_KEYS = 250_000
+#: Words, and word pieces, that a worker remembers; bytes of text that it encodes at once.
+CACHE_KEYS, SLICE_BYTES = 400_000, 16 << 20
 
 
 class KeptIfReused(dict):
@@ -96,6 +100,96 @@ class WordEncoder:
         return [b"".join(map(self.words.__getitem__, t)) for t in texts]
 
 
+def gathered(starts: np.ndarray, sizes: np.ndarray, data: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``which`` of ``data``, one after the other, and their sizes."""
+    n = sizes[which]
+    ends = np.cumsum(n)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[which] - (ends - n), n)
+    return data[at], n
+
+
+class SliceEncoder:
+    """Whole slices of texts to ids, with the end id after each text."""
+
+    #: Stands alone between the words of a slice while they are split.
+    MARK = "\x00"
+
+    def __init__(self, splitter: PieceSplitter, width: int, end_id: int, limit: int = CACHE_KEYS):
+        self.by_words = WordEncoder(splitter, width, limit)
+        self.splitter, self.type, self.end_id, self.limit = splitter, np.dtype(f"<u{width}"), end_id, limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = np.zeros(0, self.type), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        """Where the (different) pieces are in the table; new ones are encoded by the library."""
+        if len(self.place) > self.limit:
+            self._forget()
+        new = [p for p in pieces if p not in self.place]
+        if new:
+            code = self.by_words.model.encode(new, is_pretokenized=True, add_special_tokens=False)
+            sizes = np.bincount(np.array(code.word_ids, np.int64), minlength=len(new)) if len(code.ids) else np.zeros(len(new), np.int64)
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+            self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+            self.sizes = np.append(self.sizes, sizes)
+            self.ids = np.append(self.ids, np.array(code.ids, self.type))
+        return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, sizes and ids of the words' runs of ids; A-Z are lower-cased already."""
+        whole = pc.ascii_is_alpha(words)  # one piece each
+        is_whole = whole.to_numpy(zero_copy_only=False)
+        rest = words.filter(pc.invert(whole)).to_pylist()
+        simple, other = [], []
+        for i, w in enumerate(rest):
+            (simple if w.isascii() or max(w) < "\u0100" else other).append(i)  # below U+0100 all letters are composed
+        found = self.splitter.find_simple("".join([f"{rest[i]} {self.MARK} " for i in simple]).lower())
+        for i in other:
+            found += self.splitter.plain(rest[i])
+            found.append(self.MARK)
+        coded = pa.concat_arrays([words.filter(whole), pa.array([*found, self.MARK], pa.string())]).dictionary_encode()
+        different, number = coded.dictionary.to_pylist(), coded.indices.to_numpy()[:-1]
+        mark = coded.indices[-1].as_py()
+        places = self._places(different)
+        sizes = self.sizes[places]
+        sizes[mark] = 0
+        ids, n = gathered(self.starts[places], sizes, self.ids, number)
+        n_whole = len(words) - len(rest)
+        last = np.r_[np.arange(n_whole), n_whole + np.flatnonzero(number[n_whole:] == mark)]  # of each word
+        upto = np.cumsum(n)[last]
+        order = np.r_[np.flatnonzero(is_whole), np.flatnonzero(~is_whole)[np.array(simple + other, np.int64)]]
+        starts, length = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts[order], length[order] = np.r_[0, upto[:-1]], np.diff(np.r_[0, upto])
+        return starts, length, ids
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, run together, and how many each text has."""
+        odd = pc.match_substring(texts, self.MARK)
+        for name in self.splitter.special:
+            odd = pc.or_(odd, pc.match_substring(texts, name))
+        strange = [np.frombuffer(code, self.type) for code in
+                   self.by_words.encode([self.splitter.words(t) for t in texts.filter(odd).to_pylist()])]
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(odd, "", texts)))
+        coded = split.flatten().dictionary_encode()
+        starts, sizes, ids = self._words(coded.dictionary) if len(coded) else (np.zeros(0, np.int64),) * 2 + (self.ids[:0],)
+        # further runs: each strange text, and the end id
+        more = [*strange, np.array([self.end_id], self.type)]
+        lengths = np.array([len(m) for m in more])
+        sizes, starts = np.append(sizes, lengths), np.append(starts, len(ids) + np.cumsum(lengths) - lengths)
+        ids = np.concatenate([ids, *more])
+        is_odd = odd.to_numpy(zero_copy_only=False)
+        ends = np.asarray(split.offsets)[1:] - split.offsets[0].as_py()
+        tails = np.full(len(texts) + len(strange), len(sizes) - 1)  # the end id, before it a strange text's run
+        tails[np.flatnonzero(is_odd) + np.arange(len(strange))] = len(sizes) - 1 - len(strange) + np.arange(len(strange))
+        which = np.insert(coded.indices.to_numpy(), np.repeat(ends, 1 + is_odd), tails)
+        out, n = gathered(starts, sizes, ids, which)
+        texts_end = ends + np.cumsum(1 + is_odd)
+        upto = np.r_[0, np.cumsum(n)]
+        return out, np.diff(np.r_[0, upto[texts_end]])
+
+
 def id_width(spec: str) -> int:
     model = json.loads(spec)
     top = max([*model["model"]["vocab"].values(), *(t["id"] for t in model["added_tokens"])])
@@ -141,22 +235,28 @@ class Shard:
 
 
 def write_tokens(docs: DataFrame, vocabulary: str, out_dir: str, end_id: int = 2, shard_ids: int = SHARD_IDS,
-                 id_col: str = "doc_id", text_col: str = "text") -> str:
-    """Writes shards and ``manifest`` under ``out_dir`` (shared storage)."""
+                 id_col: str = "doc_id", text_col: str = "text", order: Sequence[Column] | None = None) -> str:
+    """Writes shards and ``manifest`` under ``out_dir`` (shared storage).
+
+    ``order`` gives columns whose ascending values order the documents; none: ascending ids.
+    """
     spark = docs.sparkSession
     with open(vocabulary, encoding="utf-8") as f:
         text = f.read()
     spec, width = spark.sparkContext.broadcast(text), id_width(text)
     store, root = _file_system(out_dir)
     store.create_dir(f"{root}/shards", recursive=True)
-    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = kept.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    text_of = F.coalesce(F.col(text_col), F.lit(""))
+    if order is None:  # equal rows are dealt by their place in the input: any order of these is the same
+        order = [F.col(id_col).cast("long"), F.substring(text_of, 1, 32), F.xxhash64(text_of), F.monotonically_increasing_id()]
+    keys = [f"order{i}" for i in range(len(order))]
+    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of.alias("text"), *[c.alias(k) for c, k in zip(order, keys, strict=True)])
+    ordered = kept.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = PieceSplitter(spec.value)
-        encoder = WordEncoder(splitter, width)
+        encoder = SliceEncoder(splitter, width, end_id)
         splitter.spec.clear()  # the model has it
-        end = end_id.to_bytes(width, "little")
         target, folder = _file_system(out_dir)
         buffer, ends, doc_ids, seq = bytearray(), [], [], 0
 
@@ -171,13 +271,14 @@ def write_tokens(docs: DataFrame, vocabulary: str, out_dir: str, end_id: int = 2
             buffer.clear(), ends.clear(), doc_ids.clear()
             return row
 
-        for batch in chunks(batches, "text", 1 << 20):
-            codes = encoder.encode([splitter.words(t) for t in batch.column(1).to_pylist()])
-            for doc_id, code in zip(batch.column(0).to_pylist(), codes, strict=True):
-                code += end
-                if ends and (len(buffer) + len(code)) // width > shard_ids:
+        for batch in chunks(batches, "text", SLICE_BYTES):
+            ids, sizes = encoder.encode(batch.column(1))
+            data, at = memoryview(ids.tobytes()), 0
+            for doc_id, n in zip(batch.column(0).to_pylist(), sizes.tolist(), strict=True):
+                if ends and len(buffer) // width + n > shard_ids:
                     yield flush()
-                buffer += code
+                buffer += data[at:at + n * width]
+                at += n * width
                 ends.append(len(buffer) // width)
                 doc_ids.append(doc_id)
         if ends:
@@ -200,7 +301,7 @@ def read_tokens(spark: SparkSession, out_dir: str) -> DataFrame:
     manifest = spark.read.schema("seq int, file string, n_docs long, n_ids long, part int").parquet(f"{out_dir}/manifest")
     earlier = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     shards = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0).cast("long")))
-    shards = shards.select("file", "base").repartition(F.col("file"))
+    shards = shards.select("file", "base").repartition(max(1, manifest.count()))  # a task a shard
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _file_system(out_dir)

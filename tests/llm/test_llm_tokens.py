@@ -109,3 +109,60 @@ def test_shard_reads_one_document():
 def test_no_documents_no_shards(spark, empty):
     out = token_store.write_tokens(empty, PATH, scratch_path(spark, "t"))
     assert token_store.read_tokens(spark, out).count() == 0
+
+
+_ODD = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", " ", "\n", "ΑΣ", "İ", "é", "É", "thththing", "K", "\x00", "\x85", "\xa0", "\u3000", "\x1c",
+        "a1b2", "x--y", "ﬁ", "e\u0301", "\u1df6\u0301", "b\U0001e4ec\u0301", "²", "ß", "µ", "Ω", "漢字", "don't", "", "ÀB"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.text(max_size=6), st.sampled_from(_ODD)), max_size=6).map("".join), max_size=7), st.sampled_from([1, 400_000]))
+def test_slices_agree_with_the_library(tools, texts, limit):
+    import pyarrow as pa
+    library, splitter, _, _ = tools
+    encoder = token_store.SliceEncoder(splitter, 2, 2, limit)
+    padded = pa.array(["skipped", *texts], pa.string()).slice(1)
+    for _ in range(2):  # also with a table that is filled, or forgotten
+        ids, sizes = encoder.encode(padded)
+        want = [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_marks_that_the_tables_order_otherwise(tools):
+    library, splitter, counter, _ = tools
+    assert {"\u1df6", "\U0001e4ec", "\U0001e4ed"} <= splitter.differing and len(splitter.differing) < 200
+    for c in splitter.differing:
+        for text in (f"b{c}\u0301", f"é{c}\u0316z", f"\u0334{c}"):
+            assert sum(counter[p] for p in splitter.pieces(text)) == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_shards_are_read_by_as_many_tasks(spark, tools):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(400)], "doc_id long, text string")
+    out = token_store.write_tokens(docs, PATH, scratch_path(spark, "t"), shard_ids=70)
+    shards = spark.read.parquet(f"{out}/manifest").count()
+    back = token_store.read_tokens(spark, out)
+    assert shards >= 40 and back.rdd.getNumPartitions() == shards
+    used = back.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used == shards
+
+
+def test_rows_of_one_id_are_dealt_to_many_tasks(spark, tools):
+    same = [(7, "the same text")] * 3000 + [(None, f"w{i}") for i in range(3000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these rows are few
+    try:
+        out = token_store.write_tokens(spark.createDataFrame(same, "doc_id long, text string").repartition(6), PATH, scratch_path(spark, "t"), shard_ids=10**6)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    per_task = [r.n_docs for r in spark.read.parquet(f"{out}/manifest").groupBy("part").sum("n_docs").withColumnRenamed("sum(n_docs)", "n_docs").collect()]
+    assert len(per_task) > 1 and max(per_task) < 4500
+    rows = sorted(token_store.read_tokens(spark, out).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None] * 3000 + [7] * 3000
+
+
+def test_shards_in_a_given_order(spark, tools):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(i % 5, f"w{i}", i) for i in range(50)], "doc_id long, text string, place long").repartition(4)
+    out = token_store.write_tokens(docs, PATH, scratch_path(spark, "t"), order=[-F.col("place")])
+    rows = sorted(token_store.read_tokens(spark, out).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [i % 5 for i in reversed(range(50))]
