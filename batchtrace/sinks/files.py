@@ -6,10 +6,12 @@ collected to the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from batchtrace.sinks.versions import VersionedFolder
+from batchtrace.sinks.versions import Files, VersionedFolder
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
@@ -47,8 +49,19 @@ def compact_table(spark: SparkSession, path: str, schema: StructType, out: str,
 
 
 def write_csv_report(report: DataFrame, path: str) -> None:
-    """One report per directory: header line, overwrite (S8)."""
-    report.write.mode("overwrite").option("header", "true").csv(path)
+    """One report per directory: header line, overwrite (S8).
+
+    The report is written beside the old one and put in its place when it is
+    whole, so a failed job keeps the old report.
+    """
+    folder, _, name = path.rstrip("/").rpartition("/")
+    new = f"_new-{uuid.uuid4().hex[:12]}-{name}"
+    files = Files(report.sparkSession, folder)
+    try:
+        report.write.option("header", "true").csv(f"{folder}/{new}")
+        files.swap(new, name)
+    finally:
+        files.remove(new)
 
 
 def read_csv_report(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -62,6 +75,16 @@ def write_document_snapshot(docs: DataFrame, path: str, fmt: str = "json") -> st
     return VersionedFolder(docs.sparkSession, path).replace(lambda folder: docs.write.format(fmt).save(folder))
 
 
+def clean_document_snapshots(spark: SparkSession, path: str, keep: int = 3, younger_than: float = 86_400.0) -> list[str]:
+    """Remove older snapshots of a collection; see ``VersionedFolder.clean``."""
+    return VersionedFolder(spark, path).clean(keep, younger_than)
+
+
+def roll_back_document_snapshot(spark: SparkSession, path: str, version: str | None = None) -> str:
+    """Make an earlier snapshot current again, by default the one before the current."""
+    return VersionedFolder(spark, path).roll_back(version)
+
+
 def read_document_snapshot(spark: SparkSession, path: str, schema: StructType, fmt: str = "json") -> DataFrame:
     """The current documents; none before the first snapshot."""
     folder = VersionedFolder(spark, path).current()

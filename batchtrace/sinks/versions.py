@@ -85,6 +85,16 @@ class Files:
     def remove(self, name: str) -> None:
         self._fs.delete(self.path(name), True)
 
+    def swap(self, new: str, name: str) -> None:
+        """Put a finished folder in the place of another, which is removed afterwards."""
+        old = f"_old-{uuid.uuid4().hex[:12]}"
+        if self.exists(name) and not self._fs.rename(self.path(name), self.path(old)):
+            raise OSError(f"{self.root}/{name} cannot be moved")
+        if not self._fs.rename(self.path(new), self.path(name)):
+            self._fs.rename(self.path(old), self.path(name))
+            raise OSError(f"{self.root}/{new} cannot be moved to {name}")
+        self.remove(old)
+
 
 @dataclass(frozen=True)
 class Version:

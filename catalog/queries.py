@@ -260,5 +260,6 @@ def q_dlq_reason_counts(spark, sf_dir):
 @lru_cache(maxsize=1)
 def all_queries() -> tuple[dict[str, QueryFn], dict[str, str]]:
     # Importing the other query modules registers their entries.
-    from catalog import queries_io, queries_more  # noqa: F401
+    from catalog import queries_more  # noqa: F401
+    from catalog import queries_io  # noqa: F401
     return dict(SPARK), dict(SQL)

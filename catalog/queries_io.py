@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from batchtrace import schemas
 from batchtrace.operators import reports as R
 from batchtrace.plans import rollups as P
-from batchtrace.plans.report_job import display_reports
+from batchtrace.functions.period import row_limit
+from batchtrace.operators.journey import batch_journey
+from batchtrace.plans.report_job import display_reports, write_period_reports
 from batchtrace.session import scratch_path
 from batchtrace.sinks.files import (compact_table, read_csv_report, read_document_snapshot, write_csv_report,
                                     write_document_snapshot)
@@ -21,7 +23,8 @@ from batchtrace.streaming.loads import LoadStore, start_loads
 from batchtrace.streaming.pipeline import PipelinePaths, run_until_idle, start_pipeline, start_router
 from catalog import oracle as O
 from catalog.fixture import load_raw_messages
-from catalog.queries import DAY, DISPATCH_FLAG_COLUMNS, KITCHEN_FLAG_COLUMNS, MONTH, SQL, _c, register
+from catalog.queries import BATCH, DAY, DISPATCH_FLAG_COLUMNS, KITCHEN_FLAG_COLUMNS, MONTH, SQL, _c, register
+from catalog.queries_more import q_batch_journey  # noqa: F401  (registers the journey's SQL)
 from catalog.stores import warehouse_for
 
 _AVAILABLE_NOW = {"availableNow": True}
@@ -136,6 +139,65 @@ def q_csv_report_roundtrip(spark, sf_dir):
     return read_csv_report(spark, path, spark.createDataFrame([], _STATION_SCHEMA).schema)
 
 
+#: Every report of a day and a month: report name -> (its SQL, text columns, number columns).
+_REPORT_FILES = {
+    f"{kind}_{name}": (SQL[f"{query}_{period}"], texts, numbers)
+    for kind, period in (("daily", "day"), ("monthly", "month"))
+    for name, query, texts, numbers in (
+        ("station", "station_report", ("station_id",),
+         ("total_times_active", "total_temp_warnings", "total_weight_warnings", "total_sensor_warnings")),
+        ("recipe", "recipe_report", ("recipe_id",), ("total_times_cooked",)),
+        ("ingredient", "ingredient_usage", ("recipe_id", "item"), ("total_weight_used",)),
+        ("driver", "driver_report", ("driver_id",), ("total_deliveries", "total_truck_temp_warnings", "total_sensor_warnings")),
+        ("canteen", "canteen_report", ("canteen_id",), ("total_deliveries",)),
+        ("dlq", "dlq_report", ("payload_timestamp", "event_id", "batch_id", "error_reason"), ()))
+} | {"unknown_timestamp_dlq": (SQL["dlq_report_undated"], ("payload_timestamp", "event_id", "batch_id", "error_reason"), ())}
+
+
+def _report_files_sql() -> str:
+    def one(name: str, sql: str, texts, numbers) -> str:
+        columns = [f"CAST({t} AS VARCHAR) AS t{i}" for i, t in enumerate(texts)]
+        columns += [f"CAST(NULL AS VARCHAR) AS t{i}" for i in range(len(texts), 4)]
+        columns += [f"CAST({n} AS DOUBLE) AS n{i}" for i, n in enumerate(numbers)]
+        columns += [f"CAST(NULL AS DOUBLE) AS n{i}" for i in range(len(numbers), 4)]
+        return f"SELECT '{name}' AS report, {', '.join(columns)} FROM ({sql})"
+    return " UNION ALL ".join(one(name, *spec) for name, spec in _REPORT_FILES.items())
+
+
+@register("csv_report_files", _report_files_sql())
+def q_csv_report_files(spark, sf_dir):
+    """The report job for a day and a month: all thirteen CSV reports, written twice, read back (S8)."""
+    root, c = scratch_path(spark, "reports"), _c(spark, sf_dir)
+    for period in (DAY, MONTH, DAY):
+        write_period_reports(c, period, root)
+    paths = {f"{kind}_{n}": f"{root}/{kind}/{kind}_{n}_{p.label}" for kind, p in (("daily", DAY), ("monthly", MONTH))
+             for n in ("station", "recipe", "ingredient", "driver", "canteen", "dlq")}
+    out = None
+    for name, (_, texts, numbers) in _REPORT_FILES.items():
+        schema = ", ".join([f"{t} STRING" for t in texts] + [f"{n} DOUBLE" for n in numbers])
+        df = spark.read.option("header", "true").schema(schema).csv(paths.get(name, f"{root}/{name}"))
+        columns = [(F.col(texts[i]) if i < len(texts) else F.lit(None).cast("string")).alias(f"t{i}") for i in range(4)]
+        columns += [(F.col(numbers[i]) if i < len(numbers) else F.lit(None).cast("double")).alias(f"n{i}") for i in range(4)]
+        part = df.select(F.lit(name).alias("report"), *columns)
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+@register("text_parameters", " UNION ALL ".join([
+    f"SELECT 'day' AS report, station_id AS id, total_times_active AS n FROM ({SQL['station_report_day']} ORDER BY station_id NULLS FIRST LIMIT 3)",
+    f"SELECT 'month', driver_id, total_deliveries FROM ({SQL['driver_report_month']} ORDER BY driver_id NULLS FIRST LIMIT 5)",
+    f"SELECT 'batch', batch_id, count(*) FROM ({SQL['batch_journey']}) GROUP BY batch_id"]))
+def q_text_parameters(spark, sf_dir):
+    """Reports asked for by text, as typed: a day, a month, row limits and a batch id (P22)."""
+    c = _c(spark, sf_dir)
+    day = R.station_report(c.kitchen, f" {DAY.label} ", row_limit("3"))
+    month = R.driver_report(c.dispatch, MONTH.label, row_limit("many"))
+    batch = batch_journey(c.kitchen, c.dispatch, f" {BATCH}\n")
+    return (day.select(F.lit("day").alias("report"), F.col("station_id").alias("id"), F.col("total_times_active").alias("n"))
+            .unionAll(month.select(F.lit("month"), "driver_id", "total_deliveries"))
+            .unionAll(batch.groupBy("batch_id").count().select(F.lit("batch"), "batch_id", "count")))
+
+
 _DOC_COLUMNS = KITCHEN_FLAG_COLUMNS + ("n_ingredients",)
 
 

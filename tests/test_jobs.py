@@ -122,3 +122,29 @@ def test_thresholds_from_a_file(tmp_path):
     (tmp_path / "c.json").write_text('{"max_truck_temp": 7, "other": 1}')
     assert Thresholds.from_json_file(tmp_path / "c.json") == Thresholds(max_truck_temp=7.0)
     assert Thresholds.from_json_file(tmp_path / "none.json") == Thresholds()
+
+
+def test_a_failed_report_keeps_the_old_one(spark, sf_small):
+    from batchtrace.sinks.files import write_csv_report
+    path = scratch_path(spark, "report") + "/monthly_station"
+    report = R.station_report(warehouse_for(spark, sf_small).curated(spark).kitchen, "2024-01")
+    write_csv_report(report, path)
+    n = report.count()
+    with pytest.raises(Exception, match="broken"):
+        write_csv_report(report.withColumn("station_id", F.raise_error(F.lit("broken")).cast("string")), path)
+    assert spark.read.option("header", "true").csv(path).count() == n
+    write_csv_report(report.limit(2), path + "/")
+    assert spark.read.option("header", "true").csv(path).count() == 2
+    assert os.listdir(os.path.dirname(local_path(path))) == ["monthly_station"]
+
+
+def test_snapshots_roll_back_and_are_cleaned(spark, sf_small):
+    from batchtrace.sinks.files import clean_document_snapshots, roll_back_document_snapshot
+    path = scratch_path(spark, "docs") + "/dispatch"
+    d = warehouse_for(spark, sf_small).curated(spark).dispatch
+    for n in (1, 2, 3):
+        write_document_snapshot(d.limit(n), path)
+    read = lambda: read_document_snapshot(spark, path, schemas.DISPATCH_CURATED).count()
+    roll_back_document_snapshot(spark, path)
+    assert read() == 2 and clean_document_snapshots(spark, path) == []
+    assert len(clean_document_snapshots(spark, path, keep=1, younger_than=0.0)) == 2 and read() == 2
