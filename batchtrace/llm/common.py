@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,12 +52,27 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def at_most(rows: DataFrame, bound: int) -> DataFrame:
+    """A stored sample, thinned at random to ``bound`` rows if it has more."""
+    return rows if rows.count() <= bound else rows.orderBy(F.rand(7)).limit(bound)
+
+
 def fold(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null ids: fold of '')."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+def file_order(df: DataFrame) -> list[Column] | None:
+    """Columns that tell the written order of rows read straight from Parquet files; None for other frames."""
+    place = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    try:
+        df.select(*place)
+    except AnalysisException:
+        return None
+    return place
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that no column of ``df`` has."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from batchtrace.llm import (decontamination, html_templates, interpolation_lm, language_id, mask_search, mixing, quality,
                             residue_mining, simhash, url_rules, winnowing)
-from batchtrace.llm.common import fresh, table
+from batchtrace.llm.common import file_order, fresh, table
 from batchtrace.llm.token_counts import count_tokens
 from batchtrace.llm.token_store import read_tokens, write_tokens
 from batchtrace.session import scratch_path
@@ -138,8 +138,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token shards of the mix, and per row what is read back from them."""
-    return read_tokens(spark, write_tokens(docs, VOCABULARY, scratch_path(spark, "tokens"), end_id=2))
+    """Token shards of the mix in its training order, and per row what is read back from them.
+
+    The mix was written range-sorted, so its files' names and the rows' places in
+    them tell the order; rows that are not read from files go by their ids.
+    """
+    out = scratch_path(spark, "tokens")
+    return read_tokens(spark, write_tokens(docs, VOCABULARY, out, end_id=2, order=file_order(docs)))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
