@@ -130,6 +130,9 @@ class PartStore:
             for table in files.folders(version):
                 every = [f"{version}/{table}/{part}" for part in files.folders(f"{version}/{table}")]
                 gone += [f for f in every if f not in held]
+        for version in {v.name for v in seen} - kept:
+            for table in self.tables:
+                catalog.forget(self.spark, catalog.table_name(self.root, f"{self.root}/{version}", table))
         for folder in gone:
             files.remove(folder)
         return sorted(gone)

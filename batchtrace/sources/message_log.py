@@ -17,10 +17,11 @@ bounded scans, ``endingOffsets``: ``earliest``, ``latest``, or JSON such as
 ``{"events": {"0": 23, "1": -2}}`` with -2 for the earliest and -1 for the latest;
 partitions that are not named start at the earliest and end at the latest. A stream
 keeps the offsets it has read up to in its checkpoint: a restart goes on there,
-whatever ``startingOffsets`` says. ``maxOffsetsPerTrigger`` bounds a batch.
+whatever ``startingOffsets`` says. A batch takes all that is there (the API does not
+tell a reader where the checkpoint stands, so it cannot bound a batch); what bounds
+the work of a task is ``offsetsPerSplit``.
 
-Input partitions are runs of offsets of one topic partition, at most
-``offsetsPerSplit`` each, and read only the segments and row groups that they touch.
+Input partitions are runs of at most that many offsets of one topic partition, and read only the segments and row groups that they touch.
 """
 
 from __future__ import annotations
@@ -156,7 +157,6 @@ class _Options:
         self.start = options.get("startingOffsets", "earliest")
         self.end = options.get("endingOffsets", "latest")
         self.longest = int(options.get("offsetsPerSplit", 1_000_000))
-        self.per_trigger = int(options.get("maxOffsetsPerTrigger", 0))
 
 
 class _Reader(DataSourceReader):
@@ -178,28 +178,14 @@ class _StreamReader(DataSourceStreamReader):
 
     def __init__(self, options):
         self.o = _Options(options)
-        self.at: dict | None = None
 
     def initialOffset(self) -> dict:
         return resolved(TopicFiles(self.o.uri), self.o.topics, self.o.start, EARLIEST)
 
     def latestOffset(self) -> dict:
-        newest = resolved(TopicFiles(self.o.uri), self.o.topics, "latest", LATEST)
-        if not self.o.per_trigger:
-            return newest
-        if self.at is None:
-            self.at = self.initialOffset()
-        left = self.o.per_trigger
-        for topic, partitions in newest.items():
-            for p, upto in partitions.items():
-                at = self.at.get(topic, {}).get(p, 0)
-                partitions[p] = min(upto, at + left)
-                left -= partitions[p] - at
-        self.at = newest
-        return newest
+        return resolved(TopicFiles(self.o.uri), self.o.topics, "latest", LATEST)
 
     def partitions(self, start: dict, end: dict) -> list[OffsetRun]:
-        self.at = end
         return runs(start, end, self.o.longest)
 
     def read(self, partition: OffsetRun) -> Iterator[pa.RecordBatch]:
@@ -289,15 +275,11 @@ class LogTopics:
     root: str
     starting_offsets: str = "earliest"
     ending_offsets: str = "latest"
-    max_offsets_per_trigger: int | None = None
     offsets_per_split: int = 1_000_000
 
-    def _load(self, reader, topics: list[str]) -> DataFrame:
-        r = (reader.format(FORMAT).option("path", self.root).option("subscribe", ",".join(topics))
-             .option("startingOffsets", self.starting_offsets).option("offsetsPerSplit", self.offsets_per_split))
-        if self.max_offsets_per_trigger:
-            r = r.option("maxOffsetsPerTrigger", self.max_offsets_per_trigger)
-        return r
+    def _load(self, reader, topics: list[str]):
+        return (reader.format(FORMAT).option("path", self.root).option("subscribe", ",".join(topics))
+                .option("startingOffsets", self.starting_offsets).option("offsetsPerSplit", self.offsets_per_split))
 
     def stream_offsets(self, spark: SparkSession, topics: list[str]) -> DataFrame:
         spark.dataSource.register(TopicLogSource)

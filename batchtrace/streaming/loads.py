@@ -200,7 +200,8 @@ class LoadStore:
                 elif folder not in held and at < self.manifests.oldest(younger_than):
                     gone.append(f"{name}/{folder}")
         self.manifests.clean(keep, younger_than)
-        for folder in gone:
+        done = [n for n in self.files.names("_commits") if int(n.removesuffix(".json")) <= through]
+        for folder in [*gone, *(f"_commits/{n}" for n in done)]:
             self.files.remove(folder)
         return sorted(gone)
 

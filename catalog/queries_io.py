@@ -7,9 +7,13 @@ read the committed output; their oracles are the batch answers.
 
 from __future__ import annotations
 
+import json
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from batchtrace import schemas
+from batchtrace.config import Topics
 from batchtrace.operators import reports as R
 from batchtrace.plans import rollups as P
 from batchtrace.functions.period import row_limit
@@ -18,6 +22,7 @@ from batchtrace.plans.report_job import display_reports, write_period_reports
 from batchtrace.session import scratch_path
 from batchtrace.sinks.files import (compact_table, read_csv_report, read_document_snapshot, write_csv_report,
                                     write_document_snapshot)
+from batchtrace.sources.message_log import LogTopics, TopicFiles, publish
 from batchtrace.sources.topics import FileTopics, RoutedFiles, publish_files
 from batchtrace.streaming.loads import LoadStore, start_loads
 from batchtrace.streaming.pipeline import PipelinePaths, run_until_idle, start_pipeline, start_router
@@ -54,6 +59,33 @@ def q_stream_route(spark, sf_dir):
             .select("key", "topic", "timestamp", "is_valid", "route"))
 
 
+def _topic_log(spark, sf_dir) -> LogTopics:
+    """All raw messages published to a topic log with offsets."""
+    root = scratch_path(spark, "log")
+    publish(load_raw_messages(spark, sf_dir), f"{root}/topics")
+    return LogTopics(f"{root}/topics")
+
+
+@register("stream_route_log", SQL["envelope_validation"])
+def q_stream_route_log(spark, sf_dir):
+    """The router over a source with offsets (S1, S7, S12)."""
+    source, root = _topic_log(spark, sf_dir), scratch_path(spark, "log-route")
+    run_until_idle([start_router(spark, source, f"{root}/routed", f"{root}/_checkpoints/router", trigger=_AVAILABLE_NOW)])
+    return (spark.read.schema(schemas.ROUTED).parquet(f"{root}/routed")
+            .select("key", "topic", "timestamp", "is_valid", "route"))
+
+
+@register("topic_scan_offsets", O.with_ctes(
+    "SELECT topic, \"key\", \"value\", \"timestamp\" FROM raw WHERE topic IN ('kitchen_station_events', 'dispatch_events')"))
+def q_topic_scan_offsets(spark, sf_dir):
+    """Bounded scans between offsets (S2): up to a middle offset of every partition, and on from there."""
+    source, topics = _topic_log(spark, sf_dir), [Topics().kitchen, Topics().dispatch]
+    files = TopicFiles(source.root)
+    middle = json.dumps({t: {str(p): files.bounds(t, p)[1] // 2 for p in files.partitions(t)} for t in topics})
+    before, after = replace(source, ending_offsets=middle), replace(source, starting_offsets=middle)
+    return before.batch(spark, topics).unionAll(after.batch(spark, topics)).select("topic", "key", "value", "timestamp")
+
+
 @register("stream_curated", SQL["kitchen_flags"])
 def q_stream_curated(spark, sf_dir):
     """The streamed kitchen table, compacted into a lookup table."""

@@ -342,5 +342,6 @@ def test_compaction_rewrites_only_touched_dates(spark, sf_small):
     assert held.count() == n and not store.write(1, {}) and store.loads() == []
     time.sleep(0.05)
     gone = store.clean(keep=1, younger_than=0.01)
-    assert {f"kitchen/load={i}" for i in range(3)} <= set(gone)
+    assert {f"kitchen/load={i}" for i in range(3)} <= set(gone) and not store.files.names("_commits")
+    assert all(not store.write(i, {}) for i in range(3))  # loads stay known after their commits are gone
     _expect(spark, sf_small, store)
