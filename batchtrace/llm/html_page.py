@@ -1,15 +1,17 @@
 """A page's element tree, subtree hashes and main text.
 
 A small tolerant reader: unknown or misplaced end tags are ignored, open
-paragraphs, list items and table cells end where HTML says they do, and raw text
-elements (scripts, styles) end at their own end tag only. No recursion, so depth
-is no matter.
+paragraphs, list items and table cells end where HTML says they do, raw text
+elements (scripts, styles) end at their own end tag only, and quotes count after an
+equals sign only. Once a quoted value never ends, quotes no longer count. Every step
+is linear in the page, whatever is broken or nested in it, and nothing recurses.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import xxhash
 
@@ -20,10 +22,13 @@ BLOCK = frozenset("""address article aside blockquote body caption dd details di
     figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody
     tfoot thead tr ul""".split())
 CLOSES_P = BLOCK - {"body", "html", "caption", "tbody", "tfoot", "thead", "tr"}
-#: Start tag -> open elements that it ends, and the elements that shield them.
-ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-        "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
-        "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
+_CELLS = {"td", "th", "button", "object"}
+#: Groups of open elements that a start tag may end: the elements, and those that shield them.
+GROUPS = (({"p"}, _CELLS), ({"li"}, {"ul", "ol", "menu"} | _CELLS), ({"dt", "dd"}, {"dl"} | _CELLS),
+          ({"tr", "td", "th"}, {"table"}), ({"td", "th"}, {"table", "tr"}), ({"option"}, {"select"}), ({"head"}, set()))
+#: Start tag -> numbers of the groups that it ends.
+ENDS = {tag: (0,) for tag in CLOSES_P} | {"li": (0, 1), "dt": (0, 2), "dd": (0, 2), "tr": (3,), "td": (4,), "th": (4,),
+                                          "option": (5,), "body": (6,)}
 FURNITURE_TAGS = frozenset("""aside button dialog footer form head iframe input label menu nav noembed noframes noscript
     object script select style svg template textarea title""".split())
 #: Elements that hold blocks; inside an article only those made of links may be template.
@@ -31,16 +36,20 @@ BOXES = frozenset("""address aside center details dialog div dl fieldset figure
     ul""".split())
 FURNITURE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 FURNITURE_NAMES = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments
-    consent cookie cookies disclaimer footer gdpr header masthead menu modal nav navbar navigation newsletter notice
+    consent cookie cookies disclaimer footer gdpr menu modal nav navbar navigation newsletter notice
     pagination pager popup promo promoted promotion related replies reply share sharing sidebar social sponsor sponsored
     subscribe toolbar widget""".split())
-#: Articles (or a main part) with less than this share of the text around them are not the page's main text.
-SMALL_PART = 0.25
+FURNITURE_HEADS = frozenset("header masthead".split())
+#: Never furniture by their names alone inside an article.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p table caption thead tbody tfoot tr td th blockquote pre".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What text in these is, is no prose beside an article.
+LISTED = frozenset("a li dt dd table h1 h2 h3 h4 h5 h6".split())
 # -------------------------------------------------------------------------------
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_TAG = re.compile(r"[a-zA-Z][^\s/>]*")
+_TO_END = re.compile(r"""(?:[^>=]|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>""")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]\S*)))?""")
 _NAME = re.compile(r"[a-zA-Z0-9]+")
 
 
@@ -57,61 +66,106 @@ class Element:
                 key, value = key.lower(), (a or b or c)
                 if key == "role":
                     self.role = value.strip().lower()
-                elif key == "hidden" or key == "aria-hidden":
-                    self.hidden = key == "hidden" or value.lower() == "true"
-                else:
+                elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+                    self.hidden = True
+                elif key == "class" or key == "id":
                     self.names += f" {value}"
 
 
+class _Open:
+    """The open elements, how many there are of each tag, and per group the outermost one in reach."""
+
+    _MATTERS = frozenset().union(*(ended | shield for ended, shield in GROUPS))
+
+    def __init__(self, root: Element):
+        self.stack, self.reach, self.count = [root], [(0,) * len(GROUPS)], Counter()
+
+    def push(self, e: Element) -> None:
+        reach, at = self.reach[-1], len(self.stack)
+        if e.tag in self._MATTERS:
+            reach = tuple((r or at) if e.tag in ended else 0 if e.tag in shield else r
+                          for r, (ended, shield) in zip(reach, GROUPS, strict=True))
+        self.stack.append(e)
+        self.reach.append(reach)
+        self.count[e.tag] += 1
+
+    def cut(self, at: int) -> None:
+        self.count.subtract(e.tag for e in self.stack[at:])
+        del self.stack[at:], self.reach[at:]
+
+    def end(self, tag: str) -> bool:
+        """Close the innermost open element of the tag, if there is one."""
+        if self.count[tag] <= 0:
+            return False
+        at = len(self.stack) - 1
+        while self.stack[at].tag != tag:
+            at -= 1
+        self.cut(at)
+        return True
+
+    def make_way(self, tag: str) -> None:
+        """Close what a start tag ends."""
+        if cuts := [r for g in ENDS.get(tag, ()) if (r := self.reach[-1][g])]:
+            self.cut(min(cuts))
+
+
 def parse(page: str) -> tuple[Element, list[Element]]:
     """The root and all elements, parents before children."""
     root = Element("#root", None)
-    every, stack, at = [root], [root], 0
-    end = len(page)
-    while at < end:
-        m = _TOKEN.search(page, at)
-        # a tag-like start that never ends is text
-        if m is None:
-            stack[-1].parts.append(page[at:])
-            break
-        if m.start() > at:
-            stack[-1].parts.append(page[at:m.start()])
-        at = m.end()
-        if not m[2]:
-            if m[0].startswith("<![CDATA["):
-                stack[-1].parts.append(html.escape(m[0][9:-3]))
+    every, opened = [root], _Open(root)
+    end, last, at, told = len(page), page.rfind(">"), 0, 0
+    strict, cdata = True, True  # whether quoted values and CDATA sections still end
+
+    def text(upto: int) -> None:
+        if upto > told:
+            opened.stack[-1].parts.append(page[told:upto])
+
+    while (lt := page.find("<", at)) >= 0:
+        at, kind = lt + 1, page[lt + 1:lt + 2]
+        if kind == "!" and page.startswith("!--", at):
+            close = page.find("-->", at + 3)
+            text(lt)
+            at = told = close + 3 if close >= 0 else end
+            continue
+        if lt > last:  # nothing ends any more
             continue
-        tag = m[2].lower()
-        if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+        if kind == "!" or kind == "?":
+            section = cdata and page.startswith("![CDATA[", at)
+            close = page.find("]]>", at) if section else -1
+            cdata &= not section or close >= 0
+            text(lt)
+            if close >= 0:
+                opened.stack[-1].parts.append(html.escape(page[at + 8:close]))
+                at = told = close + 3
             else:
-                if tag == "br":
-                    stack[-1].parts.append(" ")
+                at = told = page.find(">", at) + 1
             continue
-        ends, shield = ENDS.get(tag, (None, None))
-        if tag in CLOSES_P:
-            ends, shield = (ends or set()) | {"p"}, (shield or set()) | {"td", "th", "button", "object"}
-        if ends:
-            cut = 0
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ends:
-                    cut = i
-                elif stack[i].tag in shield:
-                    break
-            if cut:
-                del stack[cut:]
-        element = Element(tag, stack[-1], m[3])
-        stack[-1].parts.append(element)
+        name = _TAG.match(page, at + (kind == "/"))
+        if name is None:
+            continue  # a sign, not a tag
+        tag = name[0].lower()
+        if kind == "/":
+            text(lt)
+            at = told = page.find(">", name.end()) + 1
+            if not opened.end(tag) and tag == "br":
+                opened.stack[-1].parts.append(" ")
+            continue
+        m = _TO_END.match(page, name.end()) if strict else None
+        strict = m is not None
+        close = m.end() - 1 if m else page.find(">", name.end())
+        text(lt)
+        at = told = close + 1
+        opened.make_way(tag)
+        element = Element(tag, opened.stack[-1], page[name.end():close])
+        opened.stack[-1].parts.append(element)
         every.append(element)
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            element.parts.append(page[at:close.start() if close else end])
-            at = close.end() if close else end
-        elif tag not in VOID and not m[3].endswith("/"):
-            stack.append(element)
+            stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            element.parts.append(page[at:stop.start() if stop else end])
+            at = told = stop.end() if stop else end
+        elif tag not in VOID and page[close - 1] != "/":
+            opened.push(element)
+    text(end)
     return root, every
 
 
@@ -134,7 +188,7 @@ def measure(every: list[Element]) -> None:
                 e.has_main |= part.has_main
                 e.has_title |= part.has_title
         e.has_main |= e.tag in ("article", "main") or e.role == "main"
-        e.has_title |= e.tag == "h1"
+        e.has_title |= e.tag in HEADINGS
         if e.tag == "a":
             e.links = e.size
         e.digest = xxhash.xxh64_intdigest("\x02".join(told).encode("utf-8", "surrogatepass"))
@@ -174,14 +228,20 @@ def _furniture(e: Element, in_article: bool, template: frozenset[int]) -> bool:
         return True
     if e.tag in FURNITURE_TAGS or e.role in FURNITURE_ROLES:
         return True
-    if e.tag == "header" or "header" in e.names:  # an article's own head holds its title
-        return not (in_article and e.has_title)
-    return _named(e)
+    names = _names(e)
+    if e.tag == "header" or not FURNITURE_HEADS.isdisjoint(names):  # an article's own heads hold its titles
+        return not (in_article and (e.has_title or e.tag in PROSE))
+    return not (in_article and e.tag in PROSE) and not FURNITURE_NAMES.isdisjoint(names)
+
+
+def _names(e: Element) -> set[str]:
+    return {x.lower() for x in _NAME.findall(e.names)} if e.names else set()
 
 
 def _named(e: Element) -> bool:
     """Furniture by role or name."""
-    return e.role in FURNITURE_ROLES or bool(e.names) and not FURNITURE_NAMES.isdisjoint(x.lower() for x in _NAME.findall(e.names))
+    names = _names(e)
+    return e.role in FURNITURE_ROLES or not FURNITURE_NAMES.isdisjoint(names) or not FURNITURE_HEADS.isdisjoint(names)
 
 
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
@@ -240,31 +300,32 @@ def _text(root: Element, every: list[Element], template: frozenset[int]) -> str:
 
 
 def _main_parts(root: Element, kept: list[Element]) -> list[Element]:
-    """Top-level articles in page order; the main part or the page if they hold a small part of its text."""
-    length = dict.fromkeys([root, *kept], 0)
-    for e in reversed(length):
-        length[e] += sum(len(part.strip()) for part in e.parts if isinstance(part, str))
-        if e is not root:
-            length[e.parent] += length[e]
-    articles = [e for e in kept if e.tag == "article" and not any_above(e, "article")]
-    # comments and teasers marked as such are read only where no other article is
-    articles = [e for e in articles if not _marked(e)] or articles
-    main = max((e for e in kept if e.tag == "main" or e.role == "main"), key=length.get, default=root)
-    enough = SMALL_PART * length[root]
-    return articles if articles and sum(length[e] for e in articles) >= enough else [main] if length[main] >= enough else [root]
-
-
-def _marked(e: Element) -> bool:
-    """Furniture by role or name, or inside such an element."""
-    while e and e.tag not in ("body", "html"):
-        if _named(e):
-            return True
-        e = e.parent
-    return False
-
-
-def any_above(e: Element, tag: str) -> bool:
-    while e := e.parent:
-        if e.tag == tag:
-            return True
-    return False
+    """What holds the page's text: the articles of the main part (or of the page), or that part itself.
+
+    An article made of links is a teaser, and one marked as a comment or inside
+    furniture is read only where there is no other. Articles give way to what
+    they lie in if more prose stands beside them than is in them; links, lists,
+    tables and headings are no prose.
+    """
+    told = {e: sum(len(" ".join(x.split())) for x in e.parts if isinstance(x, str)) for e in (root, *kept)}
+    length, marked, listed, holder = dict(told), {root: False}, {root: False}, {root: None}
+    for e in reversed(kept):
+        length[e.parent] += length[e]
+    mains = [e for e in kept if e.tag == "main" or e.role == "main"]
+    main = max(mains, key=length.get, default=root)
+    main = main if length[main] else root
+    tops, prose, inside = [], 0, {root: main is root}
+    for e in kept:
+        up = e.parent
+        inside[e] = inside[up] or e is main
+        marked[e] = e.tag not in ("body", "html") and (marked[up] or _named(e))
+        listed[e] = listed[up] or e.tag in LISTED
+        holder[e] = holder[up] or (e if e.tag == "article" else None)
+        if e.tag == "article" and holder[e] is e and inside[e]:
+            tops.append(e)
+        if inside[e] and holder[e] is None and not listed[e] and not marked[e]:
+            prose += told[e]
+    prose += told[root] if main is root else 0
+    stories = [e for e in tops if 2 * e.links <= e.size]
+    articles = [e for e in stories if not marked[e]] or stories
+    return articles if articles and sum(length[e] for e in articles) >= prose else [main]

@@ -99,3 +99,62 @@ def test_boxes_go_on_a_host_of_any_size(spark, sf_small, lookup):
     ("<article><p>told at length</p></article><div class='related'><article><p>other</p></article></div>", "told at length")])
 def test_no_article_is_lost(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize("inner", [
+    '<div style="overflow:hidden"><p>kept</p></div>', '<div style="visibility:hidden">kept</div>', '<p title="a hidden gem">kept</p>',
+    '<p><a href="/the-hidden-valley">kept</a></p>', '<p data-hidden="false">kept</p>', '<p><a href="x?id=comments">kept</a></p>',
+    '<p><a href=x?id=comments>kept</a></p>', '<p data-id="share">kept</p>', '<p title="class=notice">kept</p>', "<p title='id=\"ad\"'>kept</p>",
+    '<h2 class="section-header">kept</h2>', '<table class="header-fixed"><tr><th class="header">kept</th></tr></table>',
+    '<p class="legal-notice-period">kept</p>', '<div class="section-header"><h2>kept</h2></div>', '<blockquote id="promo">kept</blockquote>',
+    '<p hidden-by="x" class>kept</p>', '<p id = ad-rem >kept</p>', '<p aria-hidden="false">kept</p>', '<img alt="x" hidden><p>kept</p>'])
+def test_article_text_is_kept_whatever_attributes_say(inner):
+    assert main_text(f"<body><article><h1>T</h1><p>the story is told here</p>{inner}</article></body>") == "T\nthe story is told here\nkept"
+
+
+@pytest.mark.parametrize("inner", ['<div class="share">x</div>', '<ul class="comments"><li>x</li></ul>', '<li class="comment">x</li>', "<div id=ad>x</div>",
+                                   "<div CLASS='Cookie Notice'>x</div>", '<p hidden>x</p>', '<div role="banner">x</div>', '<div class="page-header">x</div>'])
+def test_furniture_in_an_article_goes(inner):
+    assert main_text(f"<body><article><h1>T</h1><p>the story is told here</p>{inner}</article></body>") == "T\nthe story is told here"
+
+
+def test_menus_beside_a_short_article_do_not_bring_the_page():
+    menu = "".join(f"<li>menu line number {i}</li>" for i in range(40)) + "".join(f"<a href='/{i}'>link number {i}</a>" for i in range(40))
+    assert main_text(f"<body><ul>{menu}</ul><article><p>a short story</p></article></body>") == "a short story"
+    teaser = "<article><a href='/x'>Read the other story of the day</a></article>"
+    assert main_text(f"<body><div><p>the body</p></div>{teaser}</body>") == "the body\nRead the other story of the day"
+    assert main_text("<main><article><p>one</p></article><article><p>two</p></article></main><article><p>beside the main part</p></article>") == "one\ntwo"
+    comments = "<article class='comment'><p>" + "a reader says much " * 30 + "</p></article>"
+    assert main_text(f"<article><p>story</p></article>{comments}") == "story"
+
+
+@pytest.mark.parametrize("junk", ['<a b "', "<a b='", '<a x=">"', "<div>", "<p><button><div>", "</div>", "<![CDATA[", "<!x", "<?", "<", "<ul><li>", "<article>",
+                                  "<div></p>", "<td>", "&#x", "<p>", "<a href=\"x'>", "<!--", "<b><i></b>", "<table><tr><td>", "<dl><dd>", "</"])
+def test_broken_pages_are_read_in_linear_time(junk):
+    import time
+    page = "<p>start</p>" + junk * (1_000_000 // len(junk))
+    t = time.process_time()
+    assert main_text(page + "<p>x").startswith("start")
+    assert time.process_time() - t < 15
+
+
+def test_counting_of_subtrees_equals_brute_force(spark):
+    """Per host: the pages (told apart by their text) that hold a subtree, and which of them are template."""
+    import random
+    rng = random.Random(3)
+    boxes = [f"<div><p>box {i}</p></div>" for i in range(6)]
+    rows = [(i, f"http://h{rng.randrange(2)}.example/x", "".join(b for b in boxes if rng.random() < .4) + f"<p>story {rng.randrange(60)}</p>")
+            for i in range(150)] + [(999, None, boxes[0])]
+    from batchtrace.llm.html_page import content
+    seen: dict = {}
+    pages_of: dict = {}
+    for _, url, html in rows:
+        if url:
+            text, trees = content(html)
+            pages_of.setdefault(url.split("/")[2], set()).add(text)
+            for tree, box in trees.items():
+                seen.setdefault((url.split("/")[2], tree, box), set()).add(text)
+    want = {(h, t) for (h, t, box), texts in seen.items()
+            if len(texts) >= 5 and len(texts) >= 0.5 * len(pages_of[h]) or box and len(texts) >= 20}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {tuple(r) for r in T.templates(T.page_trees(df)).collect()} == want and len(want) > 3
