@@ -44,6 +44,8 @@ from batchtrace.llm.common import chunks, fold, stored
 
 #: Bytes of text in a block.
 BLOCK_BYTES = 6 << 20
+#: Bytes of text for each bucket of the hash space; its task holds their distinct hashes.
+BUCKET_BYTES = 16 << 20
 #: One training document in so many is held out for the weights.
 HELD = 20
 ROUNDS = 15
@@ -242,7 +244,9 @@ def frequency_bucket(context: np.ndarray) -> np.ndarray:
 def learn_weights(seen: DataFrame, n: int, v: int, rounds: int = ROUNDS) -> np.ndarray:
     """Weights (64 buckets x l2, l1, l0) by EM over ``bucket, pair, context, word, times``.
 
-    Each round is one aggregation of the held-out counts by bucket.
+    Each round is one aggregation of the held-out counts by bucket. A bucket that no
+    held-out token falls in has the weights of the nearest one that was learned, and
+    an unseen context no bigram weight.
     """
     weights = np.full((64, 3), 1 / 3)
     p2 = F.when(F.col("context") > 0, F.col("pair") / F.col("context")).otherwise(0.0)
@@ -258,6 +262,13 @@ def learn_weights(seen: DataFrame, n: int, v: int, rounds: int = ROUNDS) -> np.n
             share = np.maximum([r.s0, r.s1, r.s2], 0)
             share = share / share.sum()
             weights[r.bucket] = np.maximum(share, [0, 0, 1e-6]) / np.maximum(share, [0, 0, 1e-6]).sum()
+    learned = sorted(r.bucket for r in got)
+    for b in range(64):
+        if b not in learned and learned:
+            weights[b] = weights[min(learned, key=lambda x: (abs(x - b), x))]
+    if 0 not in learned:  # a pair of an unseen context is unseen: the others share its weight
+        rest = np.maximum(weights[0], [0, 0, 1e-6]) * [0, 1, 1]
+        weights[0] = rest / rest.sum()
     return weights
 
 
@@ -265,7 +276,9 @@ def score(docs: DataFrame, test_modulus: int = 5, test_remainder: int = 1, bucke
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: fold, tokens, known tokens, training tokens, base and model log10 probability."""
     spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:  # as many as the texts need, and at least the session's partitions
+        size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()[0]
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     role = F.when(fold(id_col, test_modulus) == test_remainder, TEST) \
         .when(F.floor(fold(id_col, test_modulus * HELD) / test_modulus) == 0, LEARN).otherwise(FIT)
     kept = docs.select(F.col(id_col).alias("doc_id"), role.cast("int").alias("role"),

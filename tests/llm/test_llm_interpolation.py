@@ -83,3 +83,22 @@ def test_known_text_scores_higher(spark, sf_small):
     rows = M.score(spark.read.parquet(f"{sf_small}/documents.parquet")).collect()
     held = [r for r in rows if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_buckets_without_held_out_tokens_take_their_neighbours_weights(spark):
+    kind = "bucket int, pair long, context long, word long, times long"
+    w = M.learn_weights(spark.createDataFrame([(3, 4, 5, 10, 100), (9, 2, 400, 30, 70)], kind), 10_000, 50)
+    assert (w[1] == w[3]).all() and (w[6] == w[3]).all() and (w[7] == w[9]).all() and (w[63] == w[9]).all()
+    assert w[0][0] == 0 and np.allclose(w.sum(axis=1), 1)  # an unseen context's probabilities add up to 1
+    none = M.learn_weights(spark.createDataFrame([], kind), 10, 5)
+    assert none[0][0] == 0 and np.allclose(none.sum(axis=1), 1)
+
+
+def test_the_number_of_buckets_follows_the_bytes(spark, monkeypatch):
+    asked = []
+    ask = M._ask
+    monkeypatch.setattr(M, "_ask", lambda kept, buckets: asked.append(buckets) or ask(kept, buckets))
+    docs = spark.createDataFrame([(i, "some words here " * 50) for i in range(40)], "doc_id long, text string")
+    want = sorted(map(tuple, M.score(docs).collect()))
+    monkeypatch.setattr(M, "BUCKET_BYTES", 1000)
+    assert sorted(map(tuple, M.score(docs).collect())) == want and asked == [4, 32]
