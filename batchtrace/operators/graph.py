@@ -123,11 +123,6 @@ def build_edges(k: DataFrame, d: DataFrame) -> Edges:
     )
 
 
-def upsert_nodes(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Stored nodes and new ones, each once."""
-    return existing.unionByName(new).distinct()
-
-
 def upsert_edges(existing: Edges, new: Edges) -> Edges:
     """Merge a new load into stored edges: union, then the same per-key
     reduction as a fresh load, so reloading the same events changes nothing."""

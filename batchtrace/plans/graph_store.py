@@ -29,8 +29,8 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 from batchtrace import schemas
 from batchtrace.functions.period import Period
 from batchtrace.operators import graph as G
-from batchtrace.session import at_once, scratch_path
-from batchtrace.sinks.parts import PartStore, PartTable
+from batchtrace.session import scratch_path
+from batchtrace.sinks.parts import Frame, PartStore, PartTable
 
 UNDATED, ALL = "undated", "all"
 #: Relation -> the end that is a batch; ``requires`` has none.
@@ -123,7 +123,7 @@ class GraphStore:
         touched = placed.groupBy("home").agg(*[F.max(m).alias(m) for m in marks]).collect() if merging else []  # one row a day
         homes = {m: [r["home"] for r in touched if r[m]] for m in marks}
         new = G.build_edges(k, d)
-        frames: dict[str, DataFrame] = {}
+        frames: dict[str, Frame] = {}
         for rel, end in BATCH_END.items():
             load = getattr(new, rel).join(placed.select(F.col("batch_id").alias(end), "home"), end)
             if merging:
@@ -135,10 +135,10 @@ class GraphStore:
             batches = self.parts.read("batches").filter(F.col("home").isin(homes["is_new"])).unionByName(batches)
         frames["batches"] = batches
         frames |= self._small(k, d, new, placed, merging)
-        self.parts.replace({n: f for n, f in frames.items() if f is not None}, whole=not merging)
+        self.parts.replace(frames, whole=not merging)
         return self
 
-    def _small(self, k: DataFrame, d: DataFrame, new: G.Edges, placed: DataFrame, merging: bool) -> dict[str, DataFrame | None]:
+    def _small(self, k: DataFrame, d: DataFrame, new: G.Edges, placed: DataFrame, merging: bool) -> dict[str, Frame]:
         """``requires``, ``days`` and ``nodes``: rewritten (per label) only if the load adds to them."""
         # homes of the days of every edge that a day can ask for
         days = new.processed.select(F.col("dst").alias("batch_id"), "event_day").join(placed, "batch_id") \
@@ -158,8 +158,7 @@ class GraphStore:
             labels = [r["label"] for r in added.select("label").distinct().collect()]  # five at most
             return stored.filter(F.col("label").isin(labels)).unionByName(added) if labels else None
 
-        return dict(zip(("days", "requires", "nodes"),
-                        at_once([lambda: grown("days", days), lambda: grown("requires", requires), grown_nodes]), strict=True))
+        return {"days": lambda: grown("days", days), "requires": lambda: grown("requires", requires), "nodes": grown_nodes}
 
 
 def _reduced(rows: DataFrame, rel: str) -> DataFrame:

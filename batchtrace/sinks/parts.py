@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,8 @@ from batchtrace.sinks import catalog
 from batchtrace.sinks.versions import VersionedFolder
 
 MANIFEST = "manifest.json"
+#: A table's new parts, or what makes them.
+Frame = DataFrame | Callable[[], DataFrame | None]
 
 
 @dataclass(frozen=True)
@@ -82,11 +84,12 @@ class PartStore:
 
     # --- changes --------------------------------------------------------------
 
-    def replace(self, frames: Mapping[str, DataFrame], whole: bool = False) -> str:
+    def replace(self, frames: Mapping[str, Frame], whole: bool = False) -> str:
         """Replace the parts that the frames hold; ``whole`` drops all others.
 
         A frame has its table's columns and the part column, and holds all rows of
-        every part that it holds any of.
+        every part that it holds any of. It may be given as a function that makes
+        it, or None if nothing changes; tables are made and written side by side.
         """
         before = self._manifest(None if whole else self.current())
         buckets = before["buckets"]
@@ -94,7 +97,12 @@ class PartStore:
         def write(folder: str) -> None:
             version = folder.rsplit("/", 1)[-1]
             parts = {name: dict(before["parts"].get(name, {})) for name in self.tables}
-            at_once([lambda n=n, f=f: self._write(self.tables[n], f, f"{folder}/{n}", buckets) for n, f in frames.items()])
+            def put(name: str, frame: Frame) -> None:
+                made = frame() if callable(frame) else frame
+                if made is not None:
+                    self._write(self.tables[name], made, f"{folder}/{name}", buckets)
+
+            at_once([lambda n=n, f=f: put(n, f) for n, f in frames.items()])
             for name in frames:
                 column = self.tables[name].part
                 for part in self.versions.files.folders(f"{version}/{name}"):

@@ -110,6 +110,8 @@ class VersionedFolder:
     def history(self) -> list[Version]:
         """All switches that are still known, the current one last."""
         text = self.files.read(POINTER)
+        if text and not text.startswith("["):  # a pointer without a history: the name alone
+            return [Version(text, 0.0)]
         return [Version(*entry) for entry in json.loads(text)] if text else []
 
     def current(self) -> str | None:
