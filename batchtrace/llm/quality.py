@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from batchtrace.llm.common import chunks, stored
+from batchtrace.llm.common import at_most, chunks, stored
 
 SLOT_BITS = 18
 #: Rated documents that the fit uses at most, in expectation.
@@ -134,7 +134,7 @@ def fit(docs: DataFrame, ratings: DataFrame, bits: int = SLOT_BITS, fit_rows: in
         .filter(F.col("rated_id").isNotNull() & (F.col("grade") >= 0))
     part = min(1.0, fit_rows / max(1, known.count()))
     chosen = known.filter(F.pmod(F.xxhash64("rated_id"), F.lit(1 << 30)) < int(part * (1 << 30)))
-    chosen = F.broadcast(chosen.limit(2 * fit_rows))  # about fit_rows rows; the limit makes it a proven bound
+    chosen = F.broadcast(chosen.limit(2 * fit_rows))  # about fit_rows ids; the limit makes it a proven bound
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .join(chosen, F.col("doc_id") == F.col("rated_id")).select("grade", "text")
 
@@ -143,8 +143,9 @@ def fit(docs: DataFrame, ratings: DataFrame, bits: int = SLOT_BITS, fit_rows: in
             found = [slots(t, bits).tobytes() for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["grade", "slots"])
 
-    # in a fixed order, so that every run adds up the same sums
-    rows = stored(texts.mapInArrow(features, "grade int, slots binary"), "rated").orderBy("grade", "slots").toArrow()
+    # an id may stand on any number of rows, so what comes to the driver is bounded here once more
+    rated = at_most(stored(texts.mapInArrow(features, "grade int, slots binary"), "rated"), 2 * fit_rows)
+    rows = rated.orderBy("grade", "slots").toArrow()  # in a fixed order, so that every run adds up the same sums
     found = [np.frombuffer(b.as_buffer(), np.int32) for chunk in rows.column("slots").chunks for b in chunk]
     return fit_ordinal(found, np.array(rows.column("grade").to_pylist(), np.int64), bits)
 
