@@ -30,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchtrace.llm.common import chunks, fold, stored
+from batchtrace.llm.common import at_most, checkpointed, chunks, fold, small_side, stored
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS, EMBED = 12, 12
 PER_LANGUAGE = 1500
-#: Languages that are learned at most (the most frequent); bounds the sample.
-LANGUAGES = 200
+#: Texts of all languages together; with many languages each has fewer.
+SAMPLE_ROWS = 300_000
 
 
 @dataclass(frozen=True)
@@ -131,16 +131,22 @@ def fold_tables(p: dict[str, np.ndarray], names: list[str]) -> ByteNet:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> ByteNet | None:
-    """Network from the labelled rows of ``docs``; None if there are none."""
+    """Network from the labelled rows of ``docs``; None if there are none.
+
+    Every language is learned, from about ``per_language`` texts, or from its part
+    of ``SAMPLE_ROWS`` where that is less.
+    """
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")) \
         .filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    counts = checkpointed(known.groupBy("lang").count())
+    n_languages = counts.count()
+    if not n_languages:
         return None
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))])
+    per_language = max(1, min(per_language, SAMPLE_ROWS // n_languages))
+    share = counts.select(F.col("lang").alias("name"), F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count")).alias("share"))
     drawn = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("fit")), F.lit(1 << 30))
-    chosen = known.filter(drawn < share[F.col("lang")] * F.lit(1 << 30)).select("lang", "text") \
-        .limit(2 * per_language * len(counts))
+    chosen = known.join(small_side(share), F.col("lang") == F.col("name")) \
+        .filter(drawn < F.col("share") * F.lit(1 << 30)).select("lang", "text")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
@@ -153,7 +159,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_id
                         found.append(every[i].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(found, pa.binary())], ["lang", "w"])
 
-    rows = stored(chosen.mapInArrow(windows, "lang string, w binary"), "windows").toArrow()
+    rows = stored(chosen.mapInArrow(windows, "lang string, w binary"), "windows")
+    rows = at_most(rows, 6 * per_language * n_languages).toArrow()  # three windows a text, twice the texts
     pairs = sorted(zip(rows.column("lang").to_pylist(), rows.column("w").to_pylist(), strict=True))
     if not pairs:
         return None

@@ -84,3 +84,25 @@ def test_no_ratings_reject_nothing(odd, empty, spark):
     graded = Q.with_grades(odd, model, expected="e", tail="t")
     assert graded.columns == [*odd.columns, "e", "t"] and graded.count() == odd.count()
     assert Q.with_grades(empty, model, expected="e", tail="t").count() == 0
+
+
+def test_a_rated_id_on_many_rows_keeps_the_sample_bounded(spark, monkeypatch):
+    rows = [(7, f"good text number {i}") for i in range(5000)] + [(8, "bad text"), (9, "other text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ratings = spark.createDataFrame([(7, 2), (8, 0), (9, 1)], "doc_id long, grade int")
+    sizes, fit = [], Q.fit_ordinal
+    monkeypatch.setattr(Q, "fit_ordinal", lambda found, grades, bits: sizes.append(len(found)) or fit(found, grades, bits))
+    Q.fit(docs, ratings, fit_rows=10)
+    assert sizes[0] <= 20
+
+
+def test_every_language_is_learned_from_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(L, "SAMPLE_ROWS", 400)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, " ".join([letters[k % 26] * 3 + letters[(k * 7 + 3) % 26] * 2] * 30), f"l{k:03d}") for i, k in enumerate(list(range(210)) * 3)]
+    rows += [(5, "hot " * 40, "l000")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen, train = [], L.train
+    monkeypatch.setattr(L, "train", lambda x, y, names: seen.append((len(x), names)) or train(x, y, names))
+    net = L.fit(docs)
+    assert len(net.names) > 100 and seen[0][0] <= 6 * 210  # more than any cap on languages; windows stay bounded
