@@ -199,15 +199,16 @@ def _report_files_sql() -> str:
 @register("csv_report_files", _report_files_sql())
 def q_csv_report_files(spark, sf_dir):
     """The report job for a day and a month: all thirteen CSV reports, written twice, read back (S8)."""
-    root, c = scratch_path(spark, "reports"), _c(spark, sf_dir)
+    root, c, paths = scratch_path(spark, "reports"), _c(spark, sf_dir), {}
     for period in (DAY, MONTH, DAY):
-        write_period_reports(c, period, root)
-    paths = {f"{kind}_{n}": f"{root}/{kind}/{kind}_{n}_{p.label}" for kind, p in (("daily", DAY), ("monthly", MONTH))
-             for n in ("station", "recipe", "ingredient", "driver", "canteen", "dlq")}
+        kind = "daily" if period.kind == "day" else "monthly"
+        for report, path in write_period_reports(c, period, root).items():
+            paths["unknown_timestamp_dlq" if report == "dlq_undated" else f"{kind}_{report}"] = path
     out = None
-    for name, (_, texts, numbers) in _REPORT_FILES.items():
+    for name in paths:  # dead letters have a file only where there are some
+        _, texts, numbers = _REPORT_FILES[name]
         schema = ", ".join([f"{t} STRING" for t in texts] + [f"{n} DOUBLE" for n in numbers])
-        df = spark.read.option("header", "true").schema(schema).csv(paths.get(name, f"{root}/{name}"))
+        df = spark.read.option("header", "true").schema(schema).csv(paths[name])
         columns = [(F.col(texts[i]) if i < len(texts) else F.lit(None).cast("string")).alias(f"t{i}") for i in range(4)]
         columns += [(F.col(numbers[i]) if i < len(numbers) else F.lit(None).cast("double")).alias(f"n{i}") for i in range(4)]
         part = df.select(F.lit(name).alias("report"), *columns)
