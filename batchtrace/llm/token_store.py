@@ -49,7 +49,7 @@ _HEAD = "<5sBQQQ"
 #: Ids of one shard at most, but for a longer single document.
 SHARD_IDS = 4_000_000
 #: Words, and word pieces, that a worker remembers; bytes of text that it encodes at once.
-CACHE_KEYS, SLICE_BYTES = 400_000, 16 << 20
+CACHE_KEYS, SLICE_BYTES = 400_000, 8 << 20
 
 
 class KeptIfReused(dict):
