@@ -12,13 +12,15 @@ used, so the projection is exact and reproducible in any SQL engine. The result
 has the Kafka column layout ``key, value, topic, timestamp`` (value already
 decoded to text).
 
-The projection is narrow (no shuffle): every input split maps to one output
-split, and split sizes are the reader's (``spark.sql.files.maxPartitionBytes``).
+The projection is narrow, and a message is many times as long and as costly as its
+event: a row group of events, which no reader splits, can be hours of work. So
+``load_raw_messages`` first deals the (small) events out in runs of time of about
+``ROWS_PER_TASK`` each, however they are stored; a run touches few dates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchtrace import config as C
@@ -32,6 +34,8 @@ CORRUPT_VALUE = '"CORRUPT_TEXT"'
 HOT_BATCH = 228
 OTHER_TOPIC = "audit_events"
 EDGE_TIMES = ("2023-12-31T23:59", "2024-01-01T00:00", "2024-01-31T23:59", "2024-02-01T00:00")
+#: Events that one task turns into messages.
+ROWS_PER_TASK = 100_000
 # ---------------------------------------------------------------------------
 
 
@@ -124,16 +128,17 @@ def raw_messages(events: DataFrame) -> DataFrame:
     )
     eid, bid, act = F.col("eid"), F.col("bid"), F.col("act")
 
+    def ingredient(item: Column, mult: int) -> Column:
+        return F.struct(item.alias("item"), amount(mult).alias("amount"))
+
     item_a = F.concat(F.lit("item_"), (r * 2).cast("string"))
     item_b = F.concat(F.lit("item_"), (r * 2 + 1).cast("string"))
     item_c = F.when(r % 2 == 0, F.lit("item_9")).otherwise(F.lit("item_8"))
-
-    def ingredient(item: Column, mult: int) -> Column:
-        return _obj(_field("item", _jstr(item)), _field("amount_kg", _fixed(amount(mult), 100, 2)))
-
-    ingredients = F.concat(F.lit("["), F.concat_ws(", ", ingredient(item_a, 5),
-                                                     ingredient(item_b, 3),
-                                                     ingredient(item_c, 2)), F.lit("]"))
+    # ``transform`` keeps this projection out of whole-stage code, whose one method for all
+    # of the text would be too long (over 8,000 bytes) for the JVM to compile.
+    ingredients = F.concat(F.lit("["), F.concat_ws(", ", F.transform(
+        F.array(ingredient(item_a, 5), ingredient(item_b, 3), ingredient(item_c, 2)),
+        lambda x: _obj(_field("item", _jstr(x["item"])), _field("amount_kg", _fixed(x["amount"], 100, 2))))), F.lit("]"))
     event_type = F.when(is_kitchen, F.lit(C.KITCHEN_EVENT_TYPE)).otherwise(F.lit(C.DISPATCH_EVENT_TYPE))
     metadata = _obj(
         _field("event_id", _jstr(eid), bad != 3),
@@ -177,6 +182,12 @@ def raw_messages(events: DataFrame) -> DataFrame:
     )
 
 
-def load_raw_messages(spark, sf_dir: str) -> DataFrame:
+def spread(events: DataFrame) -> DataFrame:
+    """The same rows, dealt out by time to tasks of about ``ROWS_PER_TASK`` rows."""
+    tasks = -(-events.count() // ROWS_PER_TASK)  # counted from the files' footers
+    return events.repartitionByRange(max(tasks, 1), "ts", "event_id")
+
+
+def load_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw messages for the ``events`` table under ``sf_dir``."""
-    return raw_messages(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    return raw_messages(spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")))
