@@ -33,6 +33,8 @@ from catalog.queries_more import q_batch_journey  # noqa: F401  (registers the j
 from catalog.stores import warehouse_for
 
 _AVAILABLE_NOW = {"availableNow": True}
+#: Loads that the stored messages are taken in, however many files they are.
+_LOADS = 4
 
 
 def _run_router(spark, sf_dir, root: str) -> str:
@@ -119,10 +121,16 @@ def q_stream_dlq(spark, sf_dir):
 
 
 def _loaded(spark, sf_dir) -> LoadStore:
-    """All tables by the one-query ingest of the stored routed messages, in several loads, then compacted."""
+    """All tables by the one-query ingest of the stored routed messages, in several loads, then compacted.
+
+    A load is two files, or more if that made more than ``_LOADS`` loads: each has a dozen
+    tables to write, and two files keep two tasks busy, so small loads leave a cluster idle.
+    """
     root = scratch_path(spark, "loads")
     store = LoadStore(spark, f"{root}/tables")
-    routed = RoutedFiles(warehouse_for(spark, sf_dir).routed, max_files_per_trigger=2)
+    wh = warehouse_for(spark, sf_dir)
+    files = len(wh.routed_frame(spark).inputFiles())
+    routed = RoutedFiles(wh.routed, max_files_per_trigger=max(2, -(-files // _LOADS)))
     run_until_idle([start_loads(spark, routed, store, f"{root}/_checkpoints/loads",
                                 trigger=_AVAILABLE_NOW)])
     store.compact()
