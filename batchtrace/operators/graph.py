@@ -63,12 +63,14 @@ def latest(df: DataFrame, props: tuple[str, ...], *also: str) -> DataFrame:
     """One row per (src, dst): the properties of the latest event. ``also`` names
     columns that are the same for all rows of an edge.
 
-    ``max_by`` is an aggregate, so it combines per map task before the
-    shuffle; a hot (src, dst) pair costs one row per task, not all its rows.
+    The latest event is the ``max`` of (time, event id, other properties): an aggregate,
+    so it combines per map task before the shuffle, and a hot (src, dst) pair costs one
+    row per task, not all its rows. The version is part of the kept struct, so every
+    property is sorted and shuffled once, and rows of the same version have one winner.
     """
-    version = F.struct(F.col("time"), F.col("event_id"))
-    pick = F.max_by(F.struct(*props), version)
-    kept = df.groupBy("src", "dst", *also).agg(pick.alias("_p")).select("src", "dst", "_p.*", *also)
+    version = ("time", "event_id")
+    pick = F.max(F.struct(*version, *[p for p in props if p not in version]))
+    kept = df.groupBy("src", "dst", *also).agg(pick.alias("_p")).select("src", "dst", *[f"_p.{p}" for p in props], *also)
     return kept.withColumn("event_day", event_date(F.col("time")))
 
 

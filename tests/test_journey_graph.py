@@ -1,5 +1,6 @@
 """Journeys, delivery spans, league table, ranking and graph queries."""
 
+import re
 from datetime import date
 
 import pytest
@@ -90,6 +91,34 @@ def test_edges_last_write_wins_and_upsert(spark):
     assert ("Ingredient", "z") in nodes and ("Batch", None) not in nodes and len(nodes) == 15
 
 
+def test_rows_of_one_version_have_one_winner_and_each_property_is_shuffled_once(spark):
+    rows = [
+        ("K1", "B1", "cook_01", "r1", "COOKING", "2024-01-05T06:00", None),
+        ("K1", "B1", "cook_01", "r1", "PACKING", "2024-01-05T06:00", None),  # the same version again
+        ("K2", "B1", "cook_01", "r1", "PREPARING", None, None),              # undated: before any time
+        ("K3", "B2", "cook_01", "r1", "COOKING", None, None),
+        ("K4", "B2", "cook_01", "r1", None, None, None),
+    ]
+    none = _d(spark, [])
+
+    def edges(some):
+        return G.build_edges(_k(spark, some).coalesce(1), none)
+
+    def found(e):
+        return sorted((r["src"], r["dst"], r["event_id"], r["action"], r["time"]) for r in e.processed.collect())
+
+    expected = [("cook_01", "B1", "K1", "PACKING", "2024-01-05T06:00"), ("cook_01", "B2", "K4", None, None)]
+    for some in (rows, rows[::-1]):
+        assert found(edges(some)) == expected
+        first, rest = edges(some[:2]), edges(some[2:])
+        assert found(G.upsert_edges(G.upsert_edges(first, rest), first)) == expected
+    processed = G.build_edges(_k(spark, rows), none).processed
+    assert processed.columns == ["src", "dst", *G.PROCESSED_PROPS, "event_day"]
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = processed._jdf.queryExecution().explainString(mode)
+    assert re.findall(r"Exchange\nInput \[(\d+)\]", plan) == ["3"]  # src, dst and one struct
+
+
 def test_recall_and_risk(spark):
     k, d = _graph_input(spark)
     e = G.build_edges(k, d)
