@@ -36,73 +36,107 @@ from pyspark.sql import functions as F
 from batchtrace.llm.common import checkpointed
 
 _UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-TOKEN = rf"[{_UNSPACED}]|[^\s{_UNSPACED}]{{1,16}}"
+_BEYOND = r"\x{e00}-\x{10ffff}"
+#: No unspaced script begins before U+0E00. To look up a letter's script takes longer than all else done to it, so it comes last.
+TOKEN = (rf"[\x{{21}}-\x{{dff}}\x{{0}}-\x{{8}}\x{{e}}-\x{{1f}}[{_BEYOND}&&[^{_UNSPACED}]]]{{1,16}}+"
+         rf"|[{_BEYOND}&&[{_UNSPACED}]]")
 K, W = 4, 4
 _POSITIONS = (1 << 32) - 1
 
 
-def _step(df: DataFrame, name: str, value: Column) -> DataFrame:
-    return df.withColumn(name, value)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, and not copied from row to row as a column would be.
 
-
-def _ahead(values: str, n: int, combine: Callable[..., Column]) -> Column:
-    """``combine`` over every ``n`` consecutive elements."""
-    v = F.col(values)
-    return F.transform(F.sequence(F.lit(1), F.size(v) - (n - 1)),
-                       lambda i: combine(*[F.element_at(v, i + j) for j in range(n)]))
+    It is the start value of a sum over no elements, which alone hands values on without a copy.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda x, _: x, body)
 
 
 def _position(key: Column) -> Column:
-    return (F.lit(_POSITIONS) - key.bitwiseAND(F.lit(_POSITIONS))).cast("int")
+    return F.bitwise_not(key).bitwiseAND(F.lit(_POSITIONS)).cast("int")
+
+
+def _runs(h: Column, k: int) -> Column:
+    """Hashes of all runs of ``k`` of the symbol hashes ``h``."""
+    every = F.transform(F.slice(h, F.lit(1), F.size(h) - (k - 1)), lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, k)]))
+    return F.when(F.size(h) >= k, every if k > 1 else h).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(
+        F.array().cast("array<bigint>"))
+
+
+def _window_least(m: Column, w: int, n: int = 1) -> Column:
+    """Least of every ``w`` consecutive keys, if ``m`` has those of every ``n``: twice as many each time."""
+    if n == w:
+        return m
+    step = min(n, w - n)
+    both = F.zip_with(F.slice(m, F.lit(1), F.size(m) - step), F.slice(m, F.lit(step + 1), F.size(m) - step), lambda a, b: F.least(a, b))
+    return _let(both, lambda x: _window_least(x, w, n + step))
+
+
+def _selected(g: Column, w: int) -> Column:
+    """Keys of the run hashes ``g`` that are the least of a window."""
+    keys = F.transform(g, lambda x, i: F.shiftrightunsigned(x, 1).bitwiseOR(F.lit(_POSITIONS)) - i)
+    return _let(keys, lambda m: F.array_distinct(
+        F.when(F.size(m) > w, _window_least(m, w) if w > 1 else m).when(F.size(m) > 0, F.array(F.array_min(m))).otherwise(m)))
 
 
-def _winnowed(df: DataFrame, h: str, out: str, k: int, w: int) -> DataFrame:
-    """``df`` plus ``out_runs``, the hashes of all runs of the symbol hashes ``h``, and ``out_least``, the selected keys."""
-    none = F.array().cast("array<bigint>")
-    g, m, s = (f"{out}_{x}" for x in ("runs", "keys", "least"))
-    df = _step(df, g, F.when(F.size(h) >= k, _ahead(h, k, F.xxhash64) if k > 1 else F.col(h))
-               .when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(none))
-    df = _step(df, m, F.transform(g, lambda x, i: F.shiftleft(F.shiftrightunsigned(x, 33), 32) + (F.lit(_POSITIONS) - i)))
-    df = _step(df, s, F.array_distinct(
-        F.when(F.size(m) > w, _ahead(m, w, F.least) if w > 1 else F.col(m))
-        .when(F.size(m) > 0, F.array(F.array_min(m))).otherwise(none)))
-    return df
+def _of(g: Column, key: Column) -> Column:
+    return F.get(g, _position(key))
 
 
 def one_window(n_tokens: Column, k: int, w: int) -> Column:
     return (n_tokens > 0) & (n_tokens < k + w)
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W, letters: bool = False) -> DataFrame:
-    """``df`` plus ``out``: array of (hash, pos), and ``out_n``: the number of tokens.
+def _full(x: Column) -> Column:
+    return F.coalesce((F.octet_length(x) >= 16) & (F.length(x) == 16), F.lit(False))
 
-    Each step is a column of its own, so it is computed once. ``letters`` takes the letters of every text.
-    """
-    kept = [c for c in df.columns if c not in (out, f"{out}_n")]
-    t, h, n, c, ch = (f"{out}_{x}" for x in ("words", "tokens", "n", "letters", "letter_hashes"))
-    df = _step(df, t, F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)))
-    df = _step(df, h, F.transform(t, lambda x: F.xxhash64(x)))
-    df = _step(df, n, F.size(h))
-    df = _winnowed(df, h, out, k, w)
-    full = lambda x: F.coalesce((F.octet_length(x) >= 16) & (F.length(x) == 16), F.lit(False))
-    every = F.lit(True) if letters else one_window(F.col(n), k, w)
-    none = F.array().cast("array<struct<hash:bigint,token:int>>")
+
+def _letters(t: Column, every: Column) -> Column:
+    """Letters with their token's position: of the tokens ``t`` of long runs, or of all."""
     cut = lambda x, i: F.transform(F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)),
                                    lambda y: F.struct(F.xxhash64(y).alias("hash"), i.alias("token")))
-    long = lambda x, i: (full(x) & (i < F.col(n) - 1)) | full(F.get(F.col(t), i - 1))
-    df = _step(df, c, F.when(every | F.exists(t, full), F.flatten(F.transform(
-        t, lambda x, i: F.when(every | long(x, i), cut(x, i)).otherwise(none)))).otherwise(none))
-    df = _step(df, ch, F.col(f"{c}.hash"))
-    df = _step(df, f"{c}_token", F.col(f"{c}.token"))
-    df = _winnowed(df, ch, ch, k, w)
-    g, cg, cs = F.col(f"{out}_runs"), F.col(f"{ch}_runs"), f"{ch}_picked"
-    hash_of = lambda runs, key: F.element_at(runs, _position(key) + 1)
-    token_of = lambda key: F.element_at(F.col(f"{c}_token"), _position(key) + 1)
-    df = _step(df, cs, F.filter(f"{ch}_least", lambda x, i: (i == 0) | (
-        hash_of(cg, x) != hash_of(cg, F.get(F.col(f"{ch}_least"), i - 1)))))
-    words = F.transform(f"{out}_least", lambda x: F.struct(hash_of(g, x).alias("hash"), _position(x).alias("pos")))
-    pieces = F.transform(cs, lambda x: F.struct(hash_of(cg, x).alias("hash"), F.least(token_of(x), F.size(g) - 1).alias("pos")))
-    return df.select(*kept, F.concat(words, pieces).alias(out), n)
+    long = lambda x, i: (_full(x) & (i < F.size(t) - 1)) | _full(F.get(t, i - 1))
+    none = F.array().cast("array<struct<hash:bigint,token:int>>")
+    return F.when(every | F.exists(t, lambda x: F.octet_length(x) >= 16), F.flatten(F.transform(
+        t, lambda x, i: F.when(every | long(x, i), cut(x, i)).otherwise(none)))).otherwise(none)
+
+
+def _letter_prints(c: Column, n_runs: Column, k: int, w: int) -> Column:
+    """Selected hashes of the letters ``c``; of equal neighbours the first."""
+    def picked(g: Column, s: Column) -> Column:
+        kept = F.filter(s, lambda x, i: (i == 0) | (_of(g, x) != _of(g, F.get(s, i - 1))))
+        return F.transform(kept, lambda x: F.struct(
+            _of(g, x).alias("hash"), F.least(_of(F.transform(c, lambda y: y["token"]), x), n_runs - 1).alias("pos")))
+
+    return _let(_runs_of(F.transform(c, lambda y: y["hash"]), k), lambda g: _let(_selected(g, w), lambda s: picked(g, s)))
+
+
+def _runs_of(h: Column, k: int) -> Column:
+    return _let(h, lambda x: _runs(x, k))
+
+
+def fingerprint(text: Column, k: int = K, w: int = W, letters: bool = False) -> Column:
+    """``prints``, an array of (hash, pos), and ``n``, the number of tokens.
+
+    One expression, so that its steps are not copied with the row. ``letters`` takes the letters of every text.
+    """
+    none = F.array().cast("array<struct<hash:bigint,pos:int>>")
+
+    def of(t: Column, g: Column) -> Column:
+        words = F.transform(_selected(g, w), lambda x: F.struct(_of(g, x).alias("hash"), _position(x).alias("pos")))
+        every = F.lit(True) if letters else one_window(F.size(t), k, w)
+        pieces = _let(_letters(t, every), lambda c: F.when(F.size(c) > 0, _letter_prints(c, F.size(g), k, w)).otherwise(none))
+        return F.struct(F.concat(words, pieces).alias("prints"), F.size(t).alias("n"))
+
+    return _let(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)),
+                lambda t: _let(_runs_of(F.transform(t, lambda x: F.xxhash64(x)), k), lambda g: of(t, g)))
+
+
+def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W, letters: bool = False) -> DataFrame:
+    """``df`` plus ``out``: array of (hash, pos), and ``out_n``: the number of tokens."""
+    kept = [c for c in df.columns if c not in (out, f"{out}_n")]
+    made = df.select(*kept, fingerprint(F.col(text), k, w, letters).alias(out))
+    return made.select(*kept, F.col(f"{out}.prints").alias(out), F.col(f"{out}.n").alias(f"{out}_n"))
 
 
 def fingerprints(docs: DataFrame, k: int = K, w: int = W, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -140,7 +174,8 @@ def with_successor(docs: DataFrame, buckets: int | None = None) -> tuple[DataFra
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = [i / buckets for i in range(1, buckets)] or [0.5]
     found = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, cuts)), 100 * buckets)).first()[0]
-    at = _bucket_of(sorted(set(found or [])))
+    bounds = sorted(set(found or []))
+    at = _bucket_of(bounds)
     placed = docs.withColumn("bucket", at(F.col("doc_id")).cast("int")).withColumn("text_hash", F.xxhash64("text"))
     # the first row of each bucket, and so the successor of the last row of the bucket before
     heads = docs.select("doc_id", at(F.col("doc_id")).cast("int").alias("bucket")) \
@@ -154,7 +189,9 @@ def with_successor(docs: DataFrame, buckets: int | None = None) -> tuple[DataFra
     top = F.first("head").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     after = checkpointed(chosen.select("bucket", F.coalesce(follows, top).alias("bucket_next")))
     inside = Window.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), "text_hash")
-    looked = placed.withColumn("ahead", F.lead("text").over(inside))
+    # a task for each bucket, and one for null ids: hashed bucket numbers would meet in some tasks and leave others idle
+    dealt = placed.repartitionById(len(bounds) + 2, "bucket")
+    looked = dealt.withColumn("ahead", F.lead("text").over(inside))
     return looked.join(F.broadcast(after), "bucket").select(
         "bucket", "doc_id", "text_hash", "text", F.coalesce("ahead", "bucket_next").alias("next_text")), inside
 
@@ -170,22 +207,22 @@ def neighbour_likeness(docs: DataFrame, k: int = K, w: int = W, id_col: str = "d
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars") - third),
                                               F.substring("next_text", F.lit(1), third)))
     rows = rows.withColumn("last", F.lead("doc_id", 1).over(inside).isNull() & F.lead("text_hash", 1).over(inside).isNull())
-    rows = rows.withColumn("wrap_text", F.when(F.col("last"), F.col("next_text")).otherwise(F.lit("")))
-    for text, out in (("text", "own"), ("edited", "other"), ("wrap_text", "wrap")):
-        rows = with_fingerprint(rows, text, out, k, w)
+    hashes = lambda prints: F.transform(prints, lambda x: x["hash"])
+    of = lambda text, letters=False: fingerprint(F.col(text), k, w, letters)
+    rows = rows.select("bucket", "doc_id", "text_hash", "n_chars", "last", "text", "edited", of("text").alias("own"), of("edited").alias("other"),
+                       F.when(F.col("last"), hashes(of("next_text")["prints"])).alias("wrap_hash"))
+    rows = rows.withColumns({"own_hash": hashes(F.col("own.prints")), "other_hash": hashes(F.col("other.prints"))})
     # if only one of text and edited text is short, both are compared by their letters too
-    short, cut_short = (one_window(F.col(n), k, w) for n in ("own_n", "other_n"))
-    rows = rows.withColumn("lone", F.when(short & ~cut_short, F.col("edited")).when(cut_short & ~short, F.col("text")).otherwise(F.lit("")))
-    rows = with_fingerprint(rows, "lone", "full", k, w, letters=True)
-    near = likeness(F.when(cut_short & ~short, F.col("full.hash")).otherwise(F.col("own.hash")),
-                    F.when(short & ~cut_short, F.col("full.hash")).otherwise(F.col("other.hash")))
+    short, cut_short = (one_window(F.col(f"{n}.n"), k, w) for n in ("own", "other"))
+    full = lambda text: hashes(of(text, True)["prints"])
+    near = likeness(F.when(cut_short & ~short, full("text")).otherwise(F.col("own_hash")),
+                    F.when(short & ~cut_short, full("edited")).otherwise(F.col("other_hash")))
+    digest = lambda c: F.sha2(F.col(c).cast("string"), 256)
+    # what stands below the window is kept by it for a whole bucket, so the long columns end here
     flat = rows.select("bucket", "doc_id", "text_hash", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                       "own", F.col("own.hash").alias("own_hash"), "other", F.col("wrap.hash").alias("wrap_hash"), "last",
-                       near.alias("near_edited"))
+                       digest("own.prints").alias("fingerprint"), digest("other.prints").alias("edited_fingerprint"),
+                       "own_hash", "wrap_hash", "last", near.alias("near_edited"))
     seen = flat.withColumn("next_hash", F.when(F.col("last"), F.col("wrap_hash")).otherwise(F.lead("own_hash").over(inside)))
-    digest = lambda c: F.sha2(F.col(c).cast("string"), 256)
     return seen.select(
-        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
-        digest("own").alias("fingerprint"), digest("other").alias("edited_fingerprint"),
-        "near_edited",
+        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
         likeness(F.col("own_hash"), F.col("next_hash")).alias("near_next"))
